@@ -9,16 +9,6 @@ PERCENT_RATIOS = ["gross_margin", "operating_margin", "net_margin", "roa", "roe"
 CURRENCY_RATIOS = ["free_cash_flow", "working_capital"]
 
 
-def margin(a: Column, b: Column, rel: float, floor: float) -> Column:
-    """The difference two amounts may have: a share of the larger one, but never less than the floor."""
-    return F.greatest(F.lit(rel) * F.greatest(F.abs(a), F.abs(b)), F.lit(float(floor)))
-
-
-def agrees(a: Column, b: Column, rel: float, floor: float) -> Column:
-    """True when the amounts are equal up to :func:`margin`; NULL when one of them is."""
-    return F.abs(a - b) <= margin(a, b, rel, floor)
-
-
 def relative_difference(a: Column, b: Column) -> Column:
     """|a - b| over the larger magnitude; NULL when both are zero."""
     return F.try_divide(F.abs(a - b), F.greatest(F.abs(a), F.abs(b)))

@@ -19,6 +19,3 @@ def is_amended(form: Column) -> Column:
     return form.endswith("/A")
 
 
-def accessions(joined: Column) -> Column:
-    """``a+b`` as an array of accession numbers without blanks."""
-    return F.filter(F.split(joined, r"\+"), lambda part: part != "")

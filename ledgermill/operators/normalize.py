@@ -1,11 +1,10 @@
 """Canonical metrics: one value per company, period, duration and metric."""
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions.sqltext import all_of, case, struct, text, texts
 from ledgermill.functions.text import is_amended
 from ledgermill.operators.facts import CONSOLIDATED_STANDARD, with_tag_types
 from ledgermill.operators.restatements import FACT_KEY, restated_facts
@@ -81,35 +80,30 @@ def resolve(facts: DataFrame, tags: DataFrame, currencies: DataFrame, restated:
 _CELL = ["value", "uom", "currency", "source_adsh", "source_filed", "source_form", "is_restated"]
 
 
-def metric_cell(metric: str, *columns: str, where: Column | None = None) -> Column:
-    """Aggregate: the struct of ``columns`` of the single row of ``metric`` in a group of :data:`GRAIN`."""
-    hit = F.col("metric") == metric
-    return F.max(F.when(hit if where is None else hit & where, F.struct(*columns)))
+def metric_cell(metric: str, columns: list[str], where: str = "TRUE") -> str:
+    """Aggregate: the struct of ``columns`` of the single row of ``metric`` in a group."""
+    return f"max(CASE WHEN metric = {text(metric)} AND {where} THEN struct({', '.join(columns)}) END)"
 
 
-def _derived_cell(rule: Derivation) -> Column:
+def _derived_cell(rule: Derivation) -> str:
     """The cell of a derived metric from the cells of its terms; NULL when a required term is absent."""
-    cells = [F.col(term) for _, term in rule.terms]
-    value = reduce(Column.__add__, [
-        F.lit(float(sign)) * (F.coalesce(F.col(term)["value"], F.lit(0.0)) if term in rule.optional
-                              else F.col(term)["value"])
-        for sign, term in rule.terms])
-    required = [F.col(term).isNotNull() for _, term in rule.terms if term not in rule.optional]
-    usable = reduce(Column.__and__, required, F.lit(True))
-    present = F.filter(F.array(*cells), lambda cell: cell.isNotNull())
-
-    def every(name: str) -> Column:
-        return F.transform(present, lambda cell: cell[name])
-
-    latest = F.array_max(F.transform(
-        F.filter(present, lambda cell: cell["source_filed"].isNotNull()),
-        lambda cell: F.struct(cell["source_filed"].alias("source_filed"), cell["source_adsh"].alias("source_adsh"),
-                              cell["source_form"].alias("source_form"))))
-    return F.when(usable, F.struct(
-        value.alias("value"), F.array_min(every("uom")).alias("uom"), F.array_min(every("currency")).alias("currency"),
-        latest["source_adsh"].alias("source_adsh"), latest["source_filed"].alias("source_filed"),
-        latest["source_form"].alias("source_form"),
-        F.exists(present, lambda cell: cell["is_restated"]).alias("is_restated")))
+    names = [name for _, name in rule.terms]
+    value = " + ".join(
+        f"({sign}) * " + (f"coalesce({name}.value, 0D)" if name in rule.optional else f"{name}.value")
+        for sign, name in rule.terms)
+    usable = all_of([f"{name} IS NOT NULL" for name in names if name not in rule.optional] or ["TRUE"])
+    present = f"array_compact(array({', '.join(names)}))"
+    latest = (f"array_max(transform(filter({present}, c -> c.source_filed IS NOT NULL), "
+              "c -> struct(c.source_filed, c.source_adsh, c.source_form)))")
+    cell = struct({
+        "value": value,
+        "uom": f"array_min(transform({present}, c -> c.uom))",
+        "currency": f"array_min(transform({present}, c -> c.currency))",
+        "source_adsh": f"{latest}.source_adsh", "source_filed": f"{latest}.source_filed",
+        "source_form": f"{latest}.source_form",
+        "is_restated": f"exists({present}, c -> c.is_restated)",
+    })
+    return case((usable, cell))
 
 
 def derive(reported: DataFrame, settings: Settings) -> DataFrame:
@@ -121,27 +115,28 @@ def derive(reported: DataFrame, settings: Settings) -> DataFrame:
     rules = settings.derivations
     involved = list(dict.fromkeys(name for rule in rules for name in
                                   [rule.metric, *[term for _, term in rule.terms]]))
-    wide = (reported.where(F.col("metric").isin(involved))
-            .groupBy(*GRAIN)
-            .agg(F.max("period_key").alias("period_key"), F.max("fiscal_year").alias("fiscal_year"),
-                 F.max("fiscal_quarter").alias("fiscal_quarter"),
-                 *[metric_cell(name, *_CELL).alias(name) for name in involved]))
+    wide = (reported.where(f"metric IN ({texts(involved)})").groupBy(*GRAIN)
+            .agg(*[F.expr(f"max({name}) AS {name}") for name in ("period_key", "fiscal_year", "fiscal_quarter")],
+                 *[F.expr(f"{metric_cell(name, _CELL)} AS {name}") for name in involved]))
     filled = []
     for i, rule in enumerate(rules):
-        sources = [F.col(term)["source_adsh"] for _, term in rule.terms]
-        wide = wide.withColumn(f"_new_{i}", F.when(F.col(rule.metric).isNull(), _derived_cell(rule)))
-        wide = wide.withColumn(f"_sources_{i}", F.size(F.array_distinct(F.filter(
-            F.array(*sources), lambda adsh: adsh.isNotNull()))).cast("long"))
-        wide = wide.withColumn(rule.metric, F.coalesce(rule.metric, f"_new_{i}"))
-        filled.append(F.when(F.col(f"_new_{i}").isNotNull(), F.struct(
-            F.lit(rule.metric).alias("metric"), F.lit(settings.metrics[rule.metric]["datatype"]).alias("datatype"),
-            F.lit(f"derived:{rule.formula}").alias("source_tag"), F.lit(rule.reason).alias("resolution_reason"),
-            F.col(f"_sources_{i}").alias("n_sources"), F.col(f"_new_{i}").alias("cell"))))
-    rows = wide.select(*GRAIN, "period_key", "fiscal_year", "fiscal_quarter",
-                       F.explode(F.filter(F.array(*filled), lambda x: x.isNotNull())).alias("d"))
-    return rows.select(*GRAIN, "period_key", "fiscal_year", "fiscal_quarter", "d.*", "d.cell.*").drop("cell").withColumns({
-        "alias_rank": F.lit(99), "n_candidates": F.lit(0).cast("long"), "n_distinct_values": F.lit(1).cast("long"),
-        "status": F.lit("derived")}).select(*COLUMNS)
+        others = [name for name in wide.columns if name != rule.metric]
+        wide = wide.selectExpr("*", f"{case((f'{rule.metric} IS NULL', _derived_cell(rule)))} AS new_{i}",
+                               "CAST(size(array_distinct(array_compact(array("
+                               + ", ".join(f"{name}.source_adsh" for _, name in rule.terms)
+                               + f")))) AS bigint) AS sources_{i}")
+        wide = wide.selectExpr(*others, f"new_{i}", f"sources_{i}",
+                               f"coalesce({rule.metric}, new_{i}) AS {rule.metric}")
+        filled.append(case((f"new_{i} IS NOT NULL", struct({
+            "metric": text(rule.metric), "datatype": text(settings.metrics[rule.metric]["datatype"]),
+            "source_tag": text(f"derived:{rule.formula}"), "resolution_reason": text(rule.reason),
+            "n_sources": f"sources_{i}", "cell": f"new_{i}"}))))
+    rows = wide.selectExpr(*GRAIN, "period_key", "fiscal_year", "fiscal_quarter",
+                           f"explode(array_compact(array({', '.join(filled)}))) AS d")
+    return (rows.selectExpr(*GRAIN, "period_key", "fiscal_year", "fiscal_quarter", "d.*", "d.cell.*",
+                            "99 AS alias_rank", "0L AS n_candidates", "1L AS n_distinct_values",
+                            "'derived' AS status")
+            .select(*COLUMNS))
 
 
 def fact_normalized(reported: DataFrame, settings: Settings) -> DataFrame:
@@ -151,12 +146,10 @@ def fact_normalized(reported: DataFrame, settings: Settings) -> DataFrame:
 
 def metrics_wide(normalized: DataFrame, settings: Settings) -> DataFrame:
     """One row per company, period end and duration; a value and a status column per metric."""
-    cells = []
+    newest = "max(CASE WHEN source_filed IS NOT NULL THEN struct(source_filed, source_adsh) END).source_adsh"
+    columns = ["max(fiscal_year) AS fiscal_year", "max(fiscal_quarter) AS fiscal_quarter", f"{newest} AS adsh",
+               "min(currency) AS currency"]
     for name in settings.metric_names:
-        hit = F.col("metric") == name
-        cells += [F.max(F.when(hit, F.col("value"))).alias(name),
-                  F.max(F.when(hit, F.col("status"))).alias(f"{name}_status")]
-    newest = F.max(F.when(F.col("source_filed").isNotNull(), F.struct("source_filed", "source_adsh")))
-    return normalized.groupBy(*GRAIN).agg(
-        F.max("fiscal_year").alias("fiscal_year"), F.max("fiscal_quarter").alias("fiscal_quarter"),
-        newest["source_adsh"].alias("adsh"), F.min("currency").alias("currency"), *cells)
+        hit = f"CASE WHEN metric = {text(name)} THEN"
+        columns += [f"max({hit} value END) AS {name}", f"max({hit} status END) AS {name}_status"]
+    return normalized.groupBy(*GRAIN).agg(*[F.expr(column) for column in columns])

@@ -1,14 +1,11 @@
-"""Ratio inputs and the thirteen ratios, as Column expressions over one row per company and period."""
+"""Ratio inputs and the thirteen ratios, evaluated as SQL expressions over one row per company and period."""
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import dates
-from ledgermill.functions.text import accessions
+from ledgermill.functions.sqltext import all_of, any_of, case, struct, text, texts
 from ledgermill.operators.normalize import metric_cell
 
 # --- fixed values: what the ratios read ----------------------------------------------------------------------
@@ -17,60 +14,54 @@ INSTANTS = ["total_assets", "current_assets", "current_liabilities", "total_liab
 FLOWS = ["revenue", "cost_of_revenue", "gross_profit", "operating_income", "net_income", "operating_cash_flow",
          "capex"]
 PRIOR_REVENUE = "revenue_prior_year"
+INPUTS = [*FLOWS, *INSTANTS, PRIOR_REVENUE]
 
-INPUT_FIELDS = ["value", "adsh", "tag", "status", "currency"]
+CELL = ["value", "adsh", "tag", "status", "currency"]
 PERIOD = ["cik", "period_end"]
 ROW = ["basis", *PERIOD]
 
 
 # ---- inputs -------------------------------------------------------------------------------------------------
 
-def _cell(value, adsh, tag, status, currency) -> Column:
-    return F.struct(value.alias("value"), adsh.alias("adsh"), tag.alias("tag"), status.alias("status"),
-                    currency.alias("currency"))
-
-
-def _from_ytd(metric: str, n: int) -> Column:
+def _from_ytd(metric: str, n: int) -> str:
     """A quarter as the year to date less the year to date one quarter earlier."""
-    now, before = F.col(f"{metric}_{n}"), F.col(f"before_{metric}_{n - 1}")
-    return F.when(now.isNotNull() & before.isNotNull(), _cell(
-        now["value"] - before["value"], F.concat(now["adsh"], F.lit("+"), before["adsh"]),
-        F.concat(F.lit(f"ytd{n}("), now["tag"], F.lit(f")-ytd{n - 1}")), F.lit("derived_from_ytd"), now["currency"]))
+    now, before = f"{metric}_{n}", f"before_{metric}_{n - 1}"
+    return case((f"{now} IS NOT NULL AND {before} IS NOT NULL", struct({
+        "value": f"{now}.value - {before}.value",
+        "adsh": f"concat({now}.adsh, '+', {before}.adsh)",
+        "tag": f"concat('ytd{n}(', {now}.tag, ')-ytd{n - 1}')",
+        "status": "'derived_from_ytd'", "currency": f"{now}.currency"})))
 
 
 def period_rows(normalized: DataFrame) -> DataFrame:
     """All instants and all flow durations of a company and period end side by side, with the standalone
     quarter of each flow (``<metric>_q``): the reported one, else the shortest year-to-date difference."""
-    source = normalized.select(*PERIOD, "qtrs", "fiscal_year", "fiscal_quarter", "metric", "value",
-                               F.col("source_adsh").alias("adsh"), F.col("source_tag").alias("tag"), "status",
-                               "currency")
-    wanted = ((F.col("metric").isin(INSTANTS) & (F.col("qtrs") == 0))
-              | (F.col("metric").isin(FLOWS) & F.col("qtrs").between(1, 4)))
-    cells = [metric_cell(m, *INPUT_FIELDS, where=F.col("qtrs") == 0).alias(m) for m in INSTANTS]
-    cells += [metric_cell(m, *INPUT_FIELDS, where=F.col("qtrs") == n).alias(f"{m}_{n}")
-              for m in FLOWS for n in (1, 2, 3, 4)]
-    wide = source.where(wanted).groupBy(*PERIOD).agg(
-        F.max("fiscal_year").alias("fiscal_year"), F.max("fiscal_quarter").alias("fiscal_quarter"), *cells)
-    before = wide.select("cik", F.col("period_end").alias("before_end"),
-                         *[F.col(f"{m}_{n}").alias(f"before_{m}_{n}") for m in FLOWS for n in (1, 2, 3)])
+    source = normalized.selectExpr(*PERIOD, "qtrs", "fiscal_year", "fiscal_quarter", "metric", "value",
+                                   "source_adsh AS adsh", "source_tag AS tag", "status", "currency")
+    wanted = (f"(qtrs = 0 AND metric IN ({texts(INSTANTS)})) OR "
+              f"(qtrs BETWEEN 1 AND 4 AND metric IN ({texts(FLOWS)}))")
+    cells = [f"{metric_cell(m, CELL, 'qtrs = 0')} AS {m}" for m in INSTANTS]
+    cells += [f"{metric_cell(m, CELL, f'qtrs = {n}')} AS {m}_{n}" for m in FLOWS for n in (1, 2, 3, 4)]
+    wide = source.where(wanted).groupBy(*PERIOD).agg(*[F.expr(e) for e in (
+        "max(fiscal_year) AS fiscal_year", "max(fiscal_quarter) AS fiscal_quarter", *cells)])
+    shorter = [f"{m}_{n}" for m in FLOWS for n in (1, 2, 3)]
+    before = wide.selectExpr("cik", "period_end AS before_end", *[f"{name} AS before_{name}" for name in shorter])
     chained = (wide.withColumn("before_end", dates.month_end_before(F.col("period_end"), 3))
                .join(before, ["cik", "before_end"], "left"))
-    return chained.withColumns({
-        f"{m}_q": F.coalesce(F.col(f"{m}_1"), *[_from_ytd(m, n) for n in (2, 3, 4)]) for m in FLOWS
-    }).drop("before_end", *[f"before_{m}_{n}" for m in FLOWS for n in (1, 2, 3)])
+    quarters = [f"coalesce({m}_1, {', '.join(_from_ytd(m, n) for n in (2, 3, 4))}) AS {m}_q" for m in FLOWS]
+    return chained.selectExpr(*wide.columns, *quarters)
 
 
 def basis_rows(periods: DataFrame) -> DataFrame:
     """One row per basis that has a flow: FY from annual durations, Q from standalone quarters. Instants apply
     to both."""
-    def side(basis: str, suffix: str) -> Column:
-        has_flow = reduce(Column.__or__, [F.col(f"{m}_{suffix}").isNotNull() for m in FLOWS])
-        return F.when(has_flow, F.struct(F.lit(basis).alias("basis"),
-                                         *[F.col(f"{m}_{suffix}").alias(m) for m in FLOWS]))
+    def side(basis: str, suffix: str) -> str:
+        return case((any_of(f"{m}_{suffix} IS NOT NULL" for m in FLOWS),
+                     struct({"basis": text(basis), **{m: f"{m}_{suffix}" for m in FLOWS}})))
 
-    both = F.filter(F.array(side("FY", "4"), side("Q", "q")), lambda s: s.isNotNull())
-    return (periods.select(*PERIOD, "fiscal_year", "fiscal_quarter", *INSTANTS, F.explode(both).alias("s"))
-            .select("s.basis", *PERIOD, "fiscal_year", "fiscal_quarter", *[f"s.{m}" for m in FLOWS], *INSTANTS))
+    return (periods.selectExpr(*PERIOD, "fiscal_year", "fiscal_quarter", *INSTANTS,
+                               f"explode(array_compact(array({side('FY', '4')}, {side('Q', 'q')}))) AS s")
+            .selectExpr("s.basis", *PERIOD, "fiscal_year", "fiscal_quarter", *[f"s.{m}" for m in FLOWS], *INSTANTS))
 
 
 def prior_year_revenue(rows: DataFrame) -> DataFrame:
@@ -79,7 +70,7 @@ def prior_year_revenue(rows: DataFrame) -> DataFrame:
     Every revenue offers itself to the three months that may look back to it, which turns the nearest-match
     into an equality join on company and month. A month holds at most 31 period ends, so no match grows.
     """
-    revenue = rows.where(F.col("revenue").isNotNull()).select(*ROW, "revenue")
+    revenue = rows.where("revenue IS NOT NULL").select(*ROW, "revenue")
     month = dates.month_index(F.col("period_end"))
     earlier = revenue.select(
         "basis", "cik", F.col("period_end").alias("prior_end"), F.col("revenue").alias(PRIOR_REVENUE),
@@ -87,7 +78,7 @@ def prior_year_revenue(rows: DataFrame) -> DataFrame:
     target = dates.month_end_before(F.col("period_end"), 12)
     near = F.col("prior_end").between(dates.month_end_before(F.col("period_end"), 13),
                                       dates.month_end_before(F.col("period_end"), 11))
-    matched = (revenue.select(*ROW, month.alias("month")).join(earlier, ["basis", "cik", "month"]).where(near))
+    matched = revenue.select(*ROW, month.alias("month")).join(earlier, ["basis", "cik", "month"]).where(near)
     nearest = F.min(F.struct(F.abs(F.datediff("prior_end", target)).alias("days"), F.col("prior_end"),
                              F.col(PRIOR_REVENUE)))
     return matched.groupBy(*ROW).agg(nearest.alias("m")).select(*ROW, f"m.{PRIOR_REVENUE}")
@@ -101,185 +92,151 @@ def ratio_rows(normalized: DataFrame) -> DataFrame:
 
 def ratio_inputs(rows: DataFrame) -> DataFrame:
     """The inputs in long form, one row per metric."""
-    names = [*FLOWS, *INSTANTS, PRIOR_REVENUE]
-    entries = F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("metric"), F.col(n).alias("i")))
-                        for n in names])
-    return (rows.select(*ROW, "fiscal_year", "fiscal_quarter",
-                        F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
-            .select(*ROW, "e.metric", "e.i.value", F.col("e.i.adsh").alias("source_adsh"),
-                    F.col("e.i.tag").alias("source_tag"), "e.i.status", "e.i.currency", "fiscal_year",
-                    "fiscal_quarter"))
+    entries = ", ".join(case((f"{n} IS NOT NULL", struct({"metric": text(n), "i": n}))) for n in INPUTS)
+    return (rows.selectExpr(*ROW, "fiscal_year", "fiscal_quarter", f"explode(array_compact(array({entries}))) AS e")
+            .selectExpr(*ROW, "e.metric", "e.i.value", "e.i.adsh AS source_adsh", "e.i.tag AS source_tag",
+                        "e.i.status", "e.i.currency", "fiscal_year", "fiscal_quarter"))
 
 
 # ---- evaluation ---------------------------------------------------------------------------------------------
-# A ratio is a list of guarded outcomes, tried in order, and a final value. Every outcome names the inputs it
-# used, in the order they are reported.
+# A ratio is an expression for one outcome struct. It is either empty, with the reason why, or a value with the
+# inputs that were assumed to be zero; both name the inputs used, in the order they are reported.
 
-def _value(name: str) -> Column:
-    return F.col(name)["value"]
+_ENTRY = "struct<key:string,value:struct<value:double,adsh:string,tag:string,status:string>>"
 
 
-def _used(names: list[str]) -> Column:
-    """The named inputs that are present, as ordered (name, input) entries."""
-    entries = [F.struct(F.lit(n).alias("key"), F.struct(*[F.col(n)[f].alias(f) for f in INPUT_FIELDS[:4]])
-                        .alias("value")) for n in names]
-    array = F.array(*entries) if entries else F.array().cast(
-        "array<struct<key:string,value:struct<value:double,adsh:string,tag:string,status:string>>>")
-    return F.filter(array, lambda e: e["value"]["adsh"].isNotNull() | e["value"]["value"].isNotNull())
+def _outcome(value: str, why: str, assumed: str, names: tuple[str, ...]) -> str:
+    entries = ", ".join(case((f"{n} IS NOT NULL", struct({
+        "key": text(n), "value": struct({f: f"{n}.{f}" for f in CELL[:4]})}))) for n in names)
+    return struct({"value": f"CAST({value} AS double)", "why": f"CAST({why} AS string)", "assumed": assumed,
+                   "used": f"CAST(array_compact(array({entries})) AS array<{_ENTRY}>)"})
 
 
-def _outcome(value: Column, status: Column, reason: Column, used: Column) -> Column:
-    return F.struct(value.cast("double").alias("value"), status.alias("status"), reason.alias("reason"),
-                    used.alias("used"))
+def _none(why: str, *names: str) -> str:
+    return _outcome("NULL", why, "''", names)
 
 
-def _none(reason: str | Column, *names: str) -> Column:
-    text = F.lit(reason) if isinstance(reason, str) else reason
-    return _outcome(F.lit(None), F.lit("null"), text, _used(list(names)))
+def _result(value: str, *names: str, assumed: str = "''") -> str:
+    return _outcome(value, "NULL", assumed, names)
 
 
-def _result(value: Column, *names: str, assumed: Column | None = None) -> Column:
-    """A value with its status: not finite, estimated, derived or ok."""
-    used = _used(list(names))
-    computed = F.array_join(F.transform(F.filter(used, lambda e: e["value"]["status"] != "reported"),
-                                        lambda e: e["key"]), ",")
-    finite = value.isNotNull() & ~F.isnan(value) & ~value.isin(float("inf"), float("-inf"))
-    guess = F.lit("") if assumed is None else assumed
-    status = (F.when(~finite, F.lit("null")).when(guess != "", F.lit("estimated"))
-              .when(computed != "", F.lit("derived")).otherwise(F.lit("ok")))
-    reason = (F.when(~finite, F.lit("non_finite_result"))
-              .when(guess != "", F.concat(F.lit("assumes_zero:"), guess))
-              .when(computed != "", F.concat(F.lit("uses_derived_input:"), computed)).otherwise(F.lit("")))
-    return _outcome(F.when(finite, value), status, reason, used)
+def _over(top: str, bottom: str) -> str:
+    return f"try_divide({top}, {bottom})"
 
 
-def _absent(*names: str) -> tuple[Column, Column]:
-    """(is any absent, ``missing:`` and the absent names)."""
-    listed = F.concat_ws("|", *[F.when(F.col(n).isNull(), F.lit(n)) for n in names])
-    return listed != "", F.concat(F.lit("missing:"), listed)
+def _listing(separator: str, names: tuple[str, ...] | list[str]) -> str:
+    """The names among the given ones that are absent."""
+    return f"concat_ws('{separator}', " + ", ".join(case((f"{n} IS NULL", text(n))) for n in names) + ")"
 
 
-def _first_of(*guards: tuple[Column, Column], final: Column) -> Column:
-    out = final
-    for condition, outcome in reversed(guards):
-        out = F.when(condition, outcome).otherwise(out)
-    return out
+def _absent(*names: str) -> tuple[str, str]:
+    """The branch taken when any of the names is absent."""
+    return any_of(f"{n} IS NULL" for n in names), _none(f"concat('missing:', {_listing('|', names)})")
 
 
-def _quotient(top: str, bottom: str, bad: Callable[[Column], Column], reason: str, order: tuple[str, str]) -> Column:
+def _quotient(top: str, bottom: str, unusable: str, why: str, order: tuple[str, str]) -> str:
     """``top / bottom`` unless an input is absent or the denominator is unusable."""
-    missing, words = _absent(top, bottom)
-    return _first_of((missing, _none(words)),
-                     (bad(_value(bottom)), _none(reason, *order)),
-                     final=_result(F.try_divide(_value(top), _value(bottom)), top, bottom))
+    return case(_absent(top, bottom), (f"{bottom}.value {unusable}", _none(text(why), *order)),
+                otherwise=_result(_over(f"{top}.value", f"{bottom}.value"), top, bottom))
+
 
+def _difference(a: str, b: str) -> str:
+    return case(_absent(a, b), otherwise=_result(f"{a}.value - {b}.value", a, b))
 
-def _is_zero(x: Column) -> Column:
-    return x == 0
 
+def _on_revenue(top: str) -> str:
+    return _quotient(top, "revenue", "= 0", "zero_denominator:revenue", ("revenue", top))
 
-def _not_positive(x: Column) -> Column:
-    return x <= 0
 
+def _on_equity(top: str) -> str:
+    return _quotient(top, "equity_parent", "<= 0", "non_positive_equity", (top, "equity_parent"))
 
-def _gross_margin() -> Column:
-    revenue = _value("revenue")
-    return _first_of(
-        (F.col("revenue").isNull(), _none("missing:revenue")),
-        (revenue == 0, _none("zero_denominator:revenue", "revenue")),
-        (F.col("gross_profit").isNotNull(),
-         _result(F.try_divide(_value("gross_profit"), revenue), "revenue", "gross_profit")),
-        (F.col("cost_of_revenue").isNotNull(),
-         _result(F.try_divide(revenue - _value("cost_of_revenue"), revenue), "revenue", "cost_of_revenue")),
-        final=_none("missing:gross_profit|cost_of_revenue", "revenue"))
 
+def _on_assets(top: str) -> str:
+    return _quotient(top, "total_assets", "<= 0", "non_positive_denominator:total_assets", (top, "total_assets"))
 
-def _margin_on_revenue(top: str) -> Column:
-    return _quotient(top, "revenue", _is_zero, "zero_denominator:revenue", ("revenue", top))
 
+def _gross_margin() -> str:
+    return case(
+        ("revenue IS NULL", _none("'missing:revenue'")),
+        ("revenue.value = 0", _none("'zero_denominator:revenue'", "revenue")),
+        ("gross_profit IS NOT NULL", _result(_over("gross_profit.value", "revenue.value"), "revenue", "gross_profit")),
+        ("cost_of_revenue IS NOT NULL",
+         _result(_over("(revenue.value - cost_of_revenue.value)", "revenue.value"), "revenue", "cost_of_revenue")),
+        otherwise=_none("'missing:gross_profit|cost_of_revenue'", "revenue"))
 
-def _current_ratio() -> Column:
-    return _quotient("current_assets", "current_liabilities", _is_zero, "zero_denominator:current_liabilities",
-                     ("current_assets", "current_liabilities"))
 
+_CURRENT = ("current_assets", "current_liabilities")
+_NO_LIABILITIES = "zero_denominator:current_liabilities"
 
-def _quick_ratio() -> Column:
-    pair = ("current_assets", "current_liabilities")
-    missing, words = _absent(*pair)
-    assets, liabilities, inventory = _value(pair[0]), _value(pair[1]), _value("inventory")
-    return _first_of(
-        (missing, _none(words)),
-        (liabilities == 0, _none("zero_denominator:current_liabilities", *pair)),
-        (F.col("inventory").isNull(),
-         _result(F.try_divide(assets, liabilities), *pair, assumed=F.lit("inventory"))),
-        final=_result(F.try_divide(assets - inventory, liabilities), *pair, "inventory"))
 
+def _quick_ratio() -> str:
+    bottom = "current_liabilities.value"
+    return case(
+        _absent(*_CURRENT),
+        (f"{bottom} = 0", _none(text(_NO_LIABILITIES), *_CURRENT)),
+        ("inventory IS NULL", _result(_over("current_assets.value", bottom), *_CURRENT, assumed="'inventory'")),
+        otherwise=_result(_over("(current_assets.value - inventory.value)", bottom), *_CURRENT, "inventory"))
 
-def _debt_to_equity() -> Column:
+
+def _debt_to_equity() -> str:
     parts = ["short_term_borrowings", "ltd_current", "ltd_noncurrent"]
-    equity = _value("equity_parent")
-    none_present = reduce(Column.__and__, [F.col(p).isNull() for p in parts])
-    debt = reduce(Column.__add__, [F.coalesce(_value(p), F.lit(0.0)) for p in parts])
-    absent = F.concat_ws(",", *[F.when(F.col(p).isNull(), F.lit(p)) for p in parts])
-    return _first_of(
-        (F.col("equity_parent").isNull(), _none("missing:equity_parent")),
-        (none_present, _none("missing:" + "|".join(parts), "equity_parent")),
-        (equity <= 0, _none("non_positive_equity", "equity_parent", *parts)),
-        final=_result(F.try_divide(debt, equity), "equity_parent", *parts, assumed=absent))
-
-
-def _on_equity(top: str) -> Column:
-    return _quotient(top, "equity_parent", _not_positive, "non_positive_equity", (top, "equity_parent"))
-
-
-def _on_assets(top: str) -> Column:
-    return _quotient(top, "total_assets", _not_positive, "non_positive_denominator:total_assets",
-                     (top, "total_assets"))
-
-
-def _difference(a: str, b: str) -> Column:
-    missing, words = _absent(a, b)
-    return _first_of((missing, _none(words)), final=_result(_value(a) - _value(b), a, b))
-
-
-def _yoy_revenue_growth() -> Column:
-    prior = _value(PRIOR_REVENUE)
-    return _first_of(
-        (F.col("revenue").isNull(), _none("missing:revenue")),
-        (F.col(PRIOR_REVENUE).isNull(), _none("prior_period_not_found", "revenue")),
-        (prior <= 0, _none("non_positive_prior_revenue", "revenue", PRIOR_REVENUE)),
-        final=_result(F.try_divide(_value("revenue"), prior) - 1, "revenue", PRIOR_REVENUE))
-
-
-# name -> builder of a struct column; a new ratio is one more entry
-RATIOS: dict[str, Callable[[], Column]] = {
-    "gross_margin": _gross_margin,
-    "operating_margin": lambda: _margin_on_revenue("operating_income"),
-    "net_margin": lambda: _margin_on_revenue("net_income"),
-    "current_ratio": _current_ratio,
-    "quick_ratio": _quick_ratio,
-    "debt_to_equity": _debt_to_equity,
-    "liabilities_to_equity": lambda: _on_equity("total_liabilities"),
-    "roa": lambda: _on_assets("net_income"),
-    "roe": lambda: _on_equity("net_income"),
-    "asset_turnover": lambda: _on_assets("revenue"),
-    "free_cash_flow": lambda: _difference("operating_cash_flow", "capex"),
-    "working_capital": lambda: _difference("current_assets", "current_liabilities"),
-    "yoy_revenue_growth": _yoy_revenue_growth,
+    debt = " + ".join(f"coalesce({p}.value, 0D)" for p in parts)
+    return case(
+        ("equity_parent IS NULL", _none("'missing:equity_parent'")),
+        (all_of(f"{p} IS NULL" for p in parts), _none(text("missing:" + "|".join(parts)), "equity_parent")),
+        ("equity_parent.value <= 0", _none("'non_positive_equity'", "equity_parent", *parts)),
+        otherwise=_result(_over(f"({debt})", "equity_parent.value"), "equity_parent", *parts,
+                          assumed=_listing(",", parts)))
+
+
+def _yoy_revenue_growth() -> str:
+    return case(
+        ("revenue IS NULL", _none("'missing:revenue'")),
+        (f"{PRIOR_REVENUE} IS NULL", _none("'prior_period_not_found'", "revenue")),
+        (f"{PRIOR_REVENUE}.value <= 0", _none("'non_positive_prior_revenue'", "revenue", PRIOR_REVENUE)),
+        otherwise=_result(_over("revenue.value", f"{PRIOR_REVENUE}.value") + " - 1", "revenue", PRIOR_REVENUE))
+
+
+# name -> expression of an outcome; a new ratio is one more entry
+RATIOS: dict[str, str] = {
+    "gross_margin": _gross_margin(),
+    "operating_margin": _on_revenue("operating_income"),
+    "net_margin": _on_revenue("net_income"),
+    "current_ratio": _quotient(*_CURRENT, "= 0", _NO_LIABILITIES, _CURRENT),
+    "quick_ratio": _quick_ratio(),
+    "debt_to_equity": _debt_to_equity(),
+    "liabilities_to_equity": _on_equity("total_liabilities"),
+    "roa": _on_assets("net_income"),
+    "roe": _on_equity("net_income"),
+    "asset_turnover": _on_assets("revenue"),
+    "free_cash_flow": _difference("operating_cash_flow", "capex"),
+    "working_capital": _difference(*_CURRENT),
+    "yoy_revenue_growth": _yoy_revenue_growth(),
 }
 
 
 def fact_ratios(rows: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """The ratios of every row in long form. Each has a value or a reason, the inputs used, and their filings."""
-    chosen = names or list(RATIOS)
-    currency = F.array_min(F.filter(F.array(*[F.col(n)["currency"] for n in [*FLOWS, *INSTANTS, PRIOR_REVENUE]]),
-                                    lambda c: c.isNotNull()))
-    results = F.array(*[F.struct(F.lit(n).alias("ratio"), RATIOS[n]().alias("r")) for n in chosen])
-    exploded = rows.select(*ROW, "fiscal_year", "fiscal_quarter", currency.alias("currency"),
-                           F.explode(results).alias("x"))
-    used = F.col("x.r.used")
-    sources = F.array_distinct(F.flatten(F.transform(used, lambda e: accessions(e["value"]["adsh"]))))
-    return exploded.select(
-        "cik", "period_end", "basis", "fiscal_year", "fiscal_quarter", "x.ratio", "x.r.value", "x.r.status",
-        "x.r.reason", F.to_json(F.map_from_entries(used)).alias("inputs_json"), sources.alias("source_adshs"),
-        "currency")
+    """The ratios of every row in long form. Each has a value or a reason, the inputs used, and their filings.
+
+    A value that is not finite is none. An estimate outranks a derived input in the status.
+    """
+    outcomes = ", ".join(struct({"ratio": text(n), "r": RATIOS[n]}) for n in names or RATIOS)
+    currency = "array_min(array_compact(array(" + ", ".join(f"{n}.currency" for n in INPUTS) + ")))"
+    evaluated = (
+        rows.selectExpr(*ROW, "fiscal_year", "fiscal_quarter", f"{currency} AS currency",
+                        f"explode(array({outcomes})) AS x")
+        .selectExpr(*ROW, "fiscal_year", "fiscal_quarter", "currency", "x.ratio", "x.r.*")
+        .selectExpr("*", "value IS NOT NULL AND NOT isnan(value) AND abs(value) < double('Infinity') AS finite",
+                    "array_join(transform(filter(used, e -> e.value.status <> 'reported'), e -> e.key), ',') "
+                    "AS computed"))
+    status = case(("why IS NOT NULL OR NOT finite", "'null'"), ("assumed <> ''", "'estimated'"),
+                  ("computed <> ''", "'derived'"), otherwise="'ok'")
+    reason = case(("why IS NOT NULL", "why"), ("NOT finite", "'non_finite_result'"),
+                  ("assumed <> ''", "concat('assumes_zero:', assumed)"),
+                  ("computed <> ''", "concat('uses_derived_input:', computed)"), otherwise="''")
+    sources = ("array_distinct(filter(flatten(transform(used, e -> split(e.value.adsh, '[+]'))), a -> a <> ''))")
+    return evaluated.selectExpr(
+        "cik", "period_end", "basis", "fiscal_year", "fiscal_quarter", "ratio",
+        "CASE WHEN finite THEN value END AS value", f"{status} AS status", f"{reason} AS reason",
+        "to_json(map_from_entries(used)) AS inputs_json", f"{sources} AS source_adshs", "currency")

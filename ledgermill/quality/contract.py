@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions.sqltext import case, struct, text
 from ledgermill.schema import RULE_OUTPUT
 from ledgermill.settings import Settings
 
@@ -21,8 +22,8 @@ CATEGORIES = ("identity", "sign", "plausibility", "continuity", "restatement", "
 SEVERITIES = ("error", "warn", "info")
 DETAILS = [f.name for f in RULE_OUTPUT.fields if f.name not in ("status", "n")]
 
-# A check of one wide input row: name of the shared input table, condition to be judged at all, and result.
-Check = Callable[[Settings], tuple[Column, Column]]
+# A check of one input row, as SQL expressions: the condition to be judged at all, and the judged unit.
+Check = Callable[[Settings], tuple[str, str]]
 Build = Callable[[Mapping[str, DataFrame], Settings], DataFrame]
 
 
@@ -69,29 +70,32 @@ def conform(df: DataFrame) -> DataFrame:
     """The rule output columns with their types; absent details become NULL, an absent weight 1."""
     if "status" not in df.columns:
         raise ValueError("a rule has to yield a status column")
-    out = []
-    for f in RULE_OUTPUT.fields:
-        default = F.lit(1) if f.name == "n" else F.lit(None)
-        out.append((F.col(f.name) if f.name in df.columns else default).cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    absent = {"n": "1"}
+    return df.selectExpr(*[
+        f"CAST({f.name if f.name in df.columns else absent.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) "
+        f"AS {f.name}" for f in RULE_OUTPUT.fields])
 
 
-def verdict(skip: Column, passes: Column) -> Column:
+def verdict(skip: str, passes: str) -> str:
     """``skip`` first, then ``pass``, and ``fail`` for the rest, unknown comparisons included."""
-    return F.when(skip, F.lit("skip")).when(passes, F.lit("pass")).otherwise(F.lit("fail"))
+    return case((skip, "'skip'"), (passes, "'pass'"), otherwise="'fail'")
 
 
-def unit(status: Column, n: Column | int = 1, **details: Column | None) -> Column:
+def pass_unless(bad: str) -> str:
+    return case((bad, "'fail'"), otherwise="'pass'")
+
+
+def unit(status: str, **details: str) -> str:
     """One judged unit as a struct of the rule output type."""
-    values = {"status": status, "n": n if isinstance(n, Column) else F.lit(n), **details}
-    return F.struct(*[(values[f.name] if values.get(f.name) is not None else F.lit(None)).cast(f.dataType)
-                      .alias(f.name) for f in RULE_OUTPUT.fields])
+    given = {"n": "1", **details, "status": status}
+    return struct({f.name: f"CAST({given.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+                   for f in RULE_OUTPUT.fields})
 
 
-def counted(status: Column, **details: Column | None) -> Column:
+def counted(status: str, **details: str) -> str:
     """A unit that keeps its details only when it fails; used by compacted rules."""
-    fails = status == "fail"
-    return unit(status, **{k: F.when(fails, v) for k, v in details.items() if v is not None})
+    n = details.pop("n", "1")
+    return unit(status, n=n, **{k: case((f"{status} = 'fail'", v)) for k, v in details.items()})
 
 
 def checked(source: DataFrame, rules: list[Rule], settings: Settings) -> DataFrame:
@@ -99,9 +103,9 @@ def checked(source: DataFrame, rules: list[Rule], settings: Settings) -> DataFra
     results = []
     for rule in rules:
         applies, result = rule.check(settings)
-        results.append(F.when(applies, F.struct(F.lit(rule.id).alias("rule_id"), result.alias("u"))))
-    return (source.select(F.explode(F.array_compact(F.array(*results))).alias("x"))
-            .select("x.rule_id", "x.u.*"))
+        results.append(case((applies, struct({"rule_id": text(rule.id), "u": result}))))
+    return (source.selectExpr(f"explode(array_compact(array({', '.join(results)}))) AS x")
+            .selectExpr("x.rule_id", "x.u.*"))
 
 
 def compacted(units: DataFrame, rules: list[Rule]) -> DataFrame:

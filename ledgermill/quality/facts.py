@@ -6,93 +6,74 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.functions.sqltext import any_of, case, text, texts
 from ledgermill.operators.facts import CONSOLIDATED_STANDARD
 from ledgermill.operators.restatements import FACT_KEY, comparable
-from ledgermill.quality.contract import Rule, counted, register, unit
+from ledgermill.quality.contract import Rule, counted, pass_unless, register, unit
 from ledgermill.settings import Settings, split_tag
 
-c = F.col
 FACTS, TYPED = "fact_financial_facts", "typed_facts"
 CURRENCY_CODE = "^[A-Z]{3}$"
+SHORT_DURATION = "duration tag with sub-quarter duration (qtrs rounded to 0)"
 
 
-def _fact(status: Column, **details: Column) -> Column:
-    return counted(status, cik=c("cik"), adsh=c("adsh"), period_end=c("period_end"), qtrs=c("qtrs"), tag=c("tag"),
-                   **details)
-
-
-def _pass_unless(bad: Column) -> Column:
-    return F.when(bad, F.lit("fail")).otherwise(F.lit("pass"))
+def _fact(status: str, **details: str) -> str:
+    return counted(status, cik="cik", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag", **details)
 
 
 def _sign(s: Settings):
     listed = [split_tag(t) for t in s.non_negative_tags]
-    candidate = c("tag").isin([name for taxonomy, name in listed if taxonomy is None])
-    for taxonomy, name in listed:
-        if taxonomy is not None:
-            candidate = candidate | ((c("tag") == name) & (c("taxonomy") == taxonomy))
-    negative = c("value") < 0
-    return (F.expr(CONSOLIDATED_STANDARD) & candidate,
-            _fact(_pass_unless(negative), observed=c("value"), expected=F.lit(0.0), diff=c("value"),
-                  message=F.lit("negative value for a tag whose natural balance is non-negative")))
-
-
-def _unit_fits() -> Column:
-    return (F.when(c("datatype").isin("monetary", "perShare"), c("uom").rlike(CURRENCY_CODE))
-            .when(c("datatype").isin("shares", "pure"), c("uom") == c("datatype")))
+    candidates = [f"tag IN ({texts(name for taxonomy, name in listed if taxonomy is None)})"]
+    candidates += [f"(tag = {text(name)} AND taxonomy = {text(taxonomy)})" for taxonomy, name in listed if taxonomy]
+    return (f"{CONSOLIDATED_STANDARD} AND {any_of(candidates)}",
+            _fact(pass_unless("value < 0"), observed="value", expected="0", diff="value",
+                  message=text("negative value for a tag whose natural balance is non-negative")))
 
 
 def _unit(s: Settings):
-    fits = _unit_fits()
-    return (F.expr(CONSOLIDATED_STANDARD) & fits.isNotNull(),
-            _fact(_pass_unless(~fits), message=F.concat(F.lit("unit "), c("uom"), F.lit(" inconsistent with datatype "),
-                                                        c("datatype"))))
+    fits = case(("datatype IN ('monetary', 'perShare')", f"uom RLIKE {text(CURRENCY_CODE)}"),
+                ("datatype IN ('shares', 'pure')", "uom = datatype"))
+    return (f"{CONSOLIDATED_STANDARD} AND ({fits}) IS NOT NULL",
+            _fact(pass_unless(f"NOT ({fits})"),
+                  message="concat('unit ', uom, ' inconsistent with datatype ', datatype)"))
 
 
 def several_currencies(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
-    """One failure per filing and monetary tag in more than one unit; distinct units are counted, not facts."""
-    units = (tables[TYPED].where(CONSOLIDATED_STANDARD).where("datatype = 'monetary' AND uom IS NOT NULL")
+    """One failure per filing and monetary tag in more than one unit; distinct units are gathered, not facts."""
+    units = (tables[TYPED].where(f"{CONSOLIDATED_STANDARD} AND datatype = 'monetary' AND uom IS NOT NULL")
              .select("adsh", "tag", "uom").distinct())
     per_tag = units.groupBy("adsh", "tag").agg(F.count(F.lit(1)).alias("k"),
                                                F.array_sort(F.collect_list("uom")).alias("uoms"))
-    message = F.concat(F.lit("monetary tag reported in several currencies within one filing: "),
-                       F.array_join("uoms", ","))
-    return per_tag.where("k > 1").select(unit(
-        F.lit("fail"), adsh=c("adsh"), tag=c("tag"), observed=c("k"), expected=F.lit(1.0), diff=c("k") - 1,
-        message=message).alias("u")).select("u.*")
+    message = "concat('monetary tag reported in several currencies within one filing: ', array_join(uoms, ','))"
+    return per_tag.where("k > 1").selectExpr(
+        "'fail' AS status", "adsh", "tag", "k AS observed", "1 AS expected", "k - 1 AS diff", f"{message} AS message")
 
 
 def _period_kind(s: Settings):
-    instant, qtrs = c("iord") == "I", c("qtrs")
-    status = F.when(instant, F.when(qtrs > 0, F.lit("fail")).when(qtrs == 0, F.lit("pass"))).otherwise(
-        F.when(qtrs == 0, F.lit("skip")).when(qtrs > 0, F.lit("pass")))
-    text = F.when(status == "skip", F.lit(SHORT_DURATION)).when(status == "fail", F.concat(
-        F.lit("instant tag reported with a duration of "), qtrs.cast("string"), F.lit(" quarters")))
-    fails = status == "fail"
-    known = F.coalesce(c("iord").isin("I", "D"), F.lit(False)) & status.isNotNull()
-
-    def detail(value: Column) -> Column:
-        return F.when(fails, value)
+    status = case(("iord = 'I' AND qtrs = 0", "'pass'"), ("iord = 'I' AND qtrs > 0", "'fail'"),
+                  ("iord = 'D' AND qtrs > 0", "'pass'"), ("iord = 'D' AND qtrs = 0", "'skip'"))
 
-    return known, unit(status, cik=detail(c("cik")), adsh=detail(c("adsh")), period_end=detail(c("period_end")),
-                       qtrs=detail(qtrs), tag=detail(c("tag")), observed=detail(qtrs), expected=detail(F.lit(0)),
-                       diff=detail(qtrs), message=text)
+    def detail(value: str) -> str:
+        return case(("iord = 'I' AND qtrs > 0", value))
 
-
-SHORT_DURATION = "duration tag with sub-quarter duration (qtrs rounded to 0)"
+    message = case(("qtrs = 0 AND iord = 'D'", text(SHORT_DURATION)),
+                   ("iord = 'I' AND qtrs > 0",
+                    "concat('instant tag reported with a duration of ', qtrs, ' quarters')"))
+    return (f"({status}) IS NOT NULL",
+            unit(status, message=message, expected=detail("0"), observed=detail("qtrs"), diff=detail("qtrs"),
+                 **{name: detail(name) for name in ("cik", "adsh", "period_end", "qtrs", "tag")}))
 
 
 def _magnitude(s: Settings):
-    limit = (F.when((c("datatype") == "monetary") & (c("uom") == "USD"), s.tolerance("magnitude_usd_max"))
-             .when(c("datatype") == "shares", s.tolerance("magnitude_shares_max"))
-             .when(c("datatype") == "perShare", s.tolerance("magnitude_eps_max")))
-    bad = F.coalesce(F.abs("value") > limit, F.lit(False))
-    return (c("is_consolidated") & c("datatype").isin("monetary", "shares", "perShare"),
-            _fact(_pass_unless(bad), observed=c("value"),
-                  message=F.concat(F.lit("implausible magnitude for "), c("datatype"), F.lit(" value in "), c("uom"))))
+    limit = case(("datatype = 'monetary' AND uom = 'USD'", f"{s.tolerance('magnitude_usd_max')}D"),
+                 ("datatype = 'shares'", f"{s.tolerance('magnitude_shares_max')}D"),
+                 ("datatype = 'perShare'", f"{s.tolerance('magnitude_eps_max')}D"))
+    return ("is_consolidated AND datatype IN ('monetary', 'shares', 'perShare')",
+            _fact(pass_unless(f"abs(value) > ({limit})"), observed="value",
+                  message="concat('implausible magnitude for ', datatype, ' value in ', uom)"))
 
 
 def restatement_units(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
@@ -102,19 +83,18 @@ def restatement_units(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame
     the map side.
     """
     several = (comparable(tables[FACTS]).groupBy(*FACT_KEY)
-               .agg(F.min("adsh").alias("_first"), F.max("adsh").alias("_last"))
-               .where("_first <> _last").select(*FACT_KEY))
-    earliest = F.min(F.when(c("filed").isNotNull(), F.struct("filed", "adsh", "value")))
-    restated = tables["restatements"].groupBy(*FACT_KEY).agg(
-        F.max("classification").alias("classification"), F.max("n_versions").alias("n_versions"),
-        F.max("group_max_rel_diff").alias("largest"), F.max("authoritative_adsh").alias("adsh"),
-        F.max("authoritative_value").alias("now"), earliest["value"].alias("first"))
-    joined = several.join(restated, FACT_KEY, "left")
-    fails = F.coalesce(c("classification") == "restatement", F.lit(False))
-    message = F.concat(F.lit("reported in "), c("n_versions").cast("string"), F.lit(" filings, values differ by up to "),
-                       F.round(c("largest") * 100, 2).cast("string"), F.lit("%"))
-    return joined.select(_fact(_pass_unless(fails), observed=c("now"), expected=c("first"),
-                               diff=c("now") - c("first"), message=message).alias("u")).select("u.*")
+               .agg(F.min("adsh").alias("low"), F.max("adsh").alias("high"))
+               .where("low <> high").select(*FACT_KEY))
+    earliest = "min(CASE WHEN filed IS NOT NULL THEN struct(filed, adsh, value) END).value"
+    restated = tables["restatements"].where("classification = 'restatement'").groupBy(*FACT_KEY).agg(
+        *[F.expr(e) for e in (
+            "max(n_versions) AS n_versions", "max(group_max_rel_diff) AS largest", "max(authoritative_adsh) AS adsh",
+            "max(authoritative_value) AS observed", f"{earliest} AS expected")])
+    message = ("concat('reported in ', n_versions, ' filings, values differ by up to ', round(largest * 100, 2), "
+               "'%')")
+    judged = _fact(pass_unless("n_versions IS NOT NULL"), observed="observed", expected="expected",
+                   diff="observed - expected", message=message)
+    return several.join(restated, FACT_KEY, "left").selectExpr(f"{judged} AS u").select("u.*")
 
 
 register(Rule(

@@ -6,25 +6,22 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.quality.contract import Rule, register
+from ledgermill.functions.sqltext import case, text, texts
+from ledgermill.quality.contract import Rule, pass_unless, register
 from ledgermill.settings import Settings
 
-c = F.col
-
 
 def amendments(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """Originals that a later amendment of the same form and period supersedes."""
+    keys = ["cik", "form", "period"]
     dated = tables["dim_filing"].where("in_scope AND period IS NOT NULL").select(
-        "cik", "adsh", "form", "period", "filed", "is_amendment")
-    newest = F.max(F.when(c("filed").isNotNull(), F.struct("filed", "adsh")))
-    amended = (dated.where("is_amendment")
-               .withColumn("form", F.replace("form", F.lit("/A"), F.lit("")))
-               .groupBy("cik", "form", "period").agg(newest.alias("a")))
-    originals = dated.where("NOT is_amendment").drop("is_amendment", "filed")
-    return originals.join(amended, ["cik", "form", "period"], "left").select(
-        F.when(c("a").isNull(), F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
-        "cik", "adsh", c("period").alias("period_end"), c("form").alias("tag"),
-        F.concat(F.lit("superseded by "), c("a.adsh"), F.lit(" filed "), c("a.filed").cast("string")).alias("message"))
+        *keys, "adsh", "filed", "is_amendment")
+    amended = (dated.where("is_amendment").withColumn("form", F.expr("replace(form, '/A', '')"))
+               .groupBy(*keys).agg(F.expr("max(CASE WHEN filed IS NOT NULL THEN struct(filed, adsh) END) AS a")))
+    originals = dated.where("NOT is_amendment").select(*keys, "adsh")
+    return originals.join(amended, keys, "left").selectExpr(
+        f"{pass_unless('a IS NOT NULL')} AS status", "cik", "adsh", "period AS period_end", "form AS tag",
+        "concat('superseded by ', a.adsh, ' filed ', a.filed) AS message")
 
 
 def duplicate_filings(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
@@ -33,15 +30,12 @@ def duplicate_filings(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame
     keys = ["cik", "form", "period"]
     originals = tables["dim_filing"].where("in_scope AND NOT is_amendment AND period IS NOT NULL").select(
         *keys, "adsh", "filed")
-    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("filed", F.lit("9999-12-31").cast("date")).alias("filed"),
-                                                  c("adsh"))))
-    groups = originals.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), listed.alias("all"))
-    names = F.array_join(F.transform("all", lambda x: x["adsh"]), ", ")
-    groups = groups.select(*keys, "k", F.concat(F.lit("same form and period filed as: "), names).alias("message"))
-    return originals.join(groups, keys).select(
-        F.when(c("k") > 1, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
-        "cik", "adsh", c("period").alias("period_end"), c("form").alias("tag"), c("k").alias("observed"),
-        F.lit(1).alias("expected"), (c("k") - 1).alias("diff"), "message")
+    in_order = "array_sort(collect_list(struct(filed IS NULL AS undated, filed, adsh)))"
+    groups = originals.groupBy(*keys).agg(F.expr("count(*) AS k"), F.expr(f"{in_order} AS members"))
+    message = "concat('same form and period filed as: ', array_join(transform(members, m -> m.adsh), ', '))"
+    return originals.join(groups.selectExpr(*keys, "k", f"{message} AS message"), keys).selectExpr(
+        f"{pass_unless('k > 1')} AS status", "cik", "adsh", "period AS period_end", "form AS tag", "k AS observed",
+        "1 AS expected", "k - 1 AS diff", "message")
 
 
 def missing_metrics(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
@@ -51,71 +45,54 @@ def missing_metrics(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     a company and period end are gathered once (a bounded set of flags), joined once per filing, and compared
     as arrays.
     """
-    mandatory = sorted({m for names in s.mandatory.values() for m in names})
-    norm, qtrs = tables["fact_normalized"], c("qtrs")
-
-    def seen(condition):
-        return F.coalesce(F.bool_or(condition), F.lit(False))
-
-    # presence of each mandatory metric as an instant, an annual flow or a shorter flow
-    flags = []
-    for m in mandatory:
-        hit = c("metric") == m
-        flags += [seen(hit & (qtrs == 0)).alias(f"{m}__instant"), seen(hit & (qtrs == 4)).alias(f"{m}__annual"),
-                  seen(hit & qtrs.isin(1, 2, 3)).alias(f"{m}__quarterly")]
-    for m, triggers in s.conditional.items():
-        flags.append(seen(c("metric").isin(triggers) & (qtrs > 0)).alias(f"{m}__due"))
-    presence = norm.groupBy("cik", c("period_end").alias("period")).agg(
-        seen((qtrs == 0) & (c("datatype") == "monetary")).alias("has_balance_sheet"), *flags
-    ).where("has_balance_sheet")
-    filings = (tables["dim_filing"].where("in_scope AND period IS NOT NULL")
-               .where(c("report_type").isin(list(s.mandatory)))
+    durations = {"instant": "qtrs = 0", "annual": "qtrs = 4", "quarterly": "qtrs IN (1, 2, 3)"}
+    flags = {f"{m}__{kind}": f"metric = {text(m)} AND {when}"
+             for m in sorted({m for names in s.mandatory.values() for m in names})
+             for kind, when in durations.items()}
+    flags.update({f"{m}__due": f"qtrs > 0 AND metric IN ({texts(triggers)})"
+                  for m, triggers in s.conditional.items()})
+    flags["has_balance_sheet"] = "qtrs = 0 AND datatype = 'monetary'"
+    presence = (tables["fact_normalized"].groupBy("cik", F.col("period_end").alias("period"))
+                .agg(*[F.expr(f"bool_or({condition}) AS {name}") for name, condition in flags.items()])
+                .where("has_balance_sheet"))
+    filings = (tables["dim_filing"]
+               .where(f"in_scope AND period IS NOT NULL AND report_type IN ({texts(s.mandatory)})")
                .select("adsh", "cik", "period", "report_type", "form")
                .join(presence, ["cik", "period"])
                .join(tables["dim_company"].select("cik", "is_financial"), "cik"))
-
-    def required(report_type, m):
-        need = c("report_type") == report_type
-        if m in s.financial_exempt:
-            need = need & ~c("is_financial")
-        if m in s.conditional:
-            need = need & c(f"{m}__due")
-        return need
-
-    need_list, miss_list = [], []
+    needed, missing = [], []
     for report_type, names in s.mandatory.items():
         for m in sorted(names):
-            need = required(report_type, m)
-            there = c(f"{m}__instant") | c(f"{m}__{report_type}")
-            need_list.append(F.when(need, F.lit(m)))
-            miss_list.append(F.when(need & ~there, F.lit(m)))
-    judged = filings.withColumns({"needed": F.array_compact(F.array(*need_list)),
-                                  "missing": F.array_compact(F.array(*miss_list))}).where(F.size("needed") > 0)
-    n = F.size("missing")
-    return judged.select(
-        F.when(n > 0, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
-        "cik", "adsh", c("period").alias("period_end"), F.when(n > 0, F.element_at("missing", 1)).alias("tag"),
-        n.alias("observed"), F.lit(0).alias("expected"), n.alias("diff"),
-        F.when(n > 0, F.concat(c("form"), F.lit(" missing: "), F.array_join("missing", ", "))).alias("message"))
+            need = f"report_type = {text(report_type)}"
+            need += " AND NOT is_financial" if m in s.financial_exempt else ""
+            need += f" AND {m}__due" if m in s.conditional else ""
+            needed.append(f"({need})")
+            missing.append(case((f"{need} AND NOT ({m}__instant OR {m}__{report_type})", text(m))))
+    judged = filings.where(" OR ".join(needed)).selectExpr(
+        "cik", "adsh", "period", "form", f"array_compact(array({', '.join(missing)})) AS missing")
+    listed = "concat(form, ' missing: ', array_join(missing, ', '))"
+    return judged.selectExpr(
+        f"{pass_unless('size(missing) > 0')} AS status", "cik", "adsh", "period AS period_end",
+        "get(missing, 0) AS tag", "size(missing) AS observed", "0 AS expected", "size(missing) AS diff",
+        f"{case(('size(missing) > 0', listed))} AS message")
 
 
 def filing_metadata(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """Period, filing date, fiscal period and fiscal year of a submission agree with each other."""
-    fp, fy, period = c("fp_reported"), c("fy_reported"), c("period")
-    shown_fp, shown_fy = F.coalesce(fp, F.lit("NULL")), F.coalesce(fy.cast("string"), F.lit("NULL"))
-    problems = F.concat_ws(
-        "; ",
-        F.when(period.isNull(), F.lit("period missing")),
-        F.when(c("filed").isNull(), F.lit("filed missing")),
-        F.when(fp.isNull() | ~fp.isin(s.allowed_fp), F.concat(F.lit("fp="), shown_fp, F.lit(" not allowed"))),
-        F.when(fy.isNull() | (F.abs(fy - F.year(period)) > 1),
-               F.concat(F.lit("fy="), shown_fy, F.lit(" inconsistent with period "),
-                        F.coalesce(period.cast("string"), F.lit("NULL")))),
-        F.when(period > c("filed"), F.lit("period after filing date")),
-        F.when((c("report_type") == "annual") & (fp != "FY"), F.concat(F.lit("10-K with fp="), fp)))
-    return (tables["dim_filing"].where("in_scope").withColumn("message", problems)
-            .select(F.when(c("message") == "", F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
-                    "cik", "adsh", period.alias("period_end"), c("form").alias("tag"), "message"))
+    fp, fy = "coalesce(fp_reported, 'NULL')", "coalesce(string(fy_reported), 'NULL')"
+    found = [
+        ("period IS NULL", "'period missing'"),
+        ("filed IS NULL", "'filed missing'"),
+        (f"fp_reported IS NULL OR fp_reported NOT IN ({texts(s.allowed_fp)})", f"concat('fp=', {fp}, ' not allowed')"),
+        ("fy_reported IS NULL OR abs(fy_reported - year(period)) > 1",
+         f"concat('fy=', {fy}, ' inconsistent with period ', coalesce(string(period), 'NULL'))"),
+        ("period > filed", "'period after filing date'"),
+        ("report_type = 'annual' AND fp_reported <> 'FY'", "concat('10-K with fp=', fp_reported)"),
+    ]
+    problems = "concat_ws('; ', " + ", ".join(case(branch) for branch in found) + ")"
+    status = pass_unless("message <> ''")
+    return (tables["dim_filing"].where("in_scope").selectExpr("*", f"{problems} AS message")
+            .selectExpr(f"{status} AS status", "cik", "adsh", "period AS period_end", "form AS tag", "message"))
 
 
 register(Rule(

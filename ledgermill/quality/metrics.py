@@ -3,91 +3,88 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions import dates
-from ledgermill.functions.numbers import agrees
-from ledgermill.quality.contract import Rule, register, unit, verdict
+from ledgermill.functions.sqltext import agree, case, struct, text, texts
+from ledgermill.quality.contract import Rule, pass_unless, register, unit, verdict
 from ledgermill.settings import Settings
 
-c = F.col
-
 # --- fixed values: the flows whose periods have to chain -----------------------------------------------------
 CHAINED_FLOWS = ["revenue", "cost_of_revenue", "operating_income", "net_income", "operating_cash_flow"]
 
 
-def _row(status: Column, tag: str, observed: Column, expected: Column, message) -> Column:
-    text = F.lit(message) if isinstance(message, str) else message
-    return unit(status, cik=c("cik"), adsh=c("adsh"), period_end=c("period_end"), qtrs=c("qtrs"), tag=F.lit(tag),
-                observed=observed, expected=expected, diff=observed - expected, message=text)
+def _row(status: str, tag: str, observed: str, expected: str, message: str) -> str:
+    return unit(status, cik="cik", adsh="adsh", period_end="period_end", qtrs="qtrs", tag=text(tag),
+                observed=observed, expected=expected, diff=f"({observed}) - ({expected})", message=message)
+
+
+def _within(s: Settings, a: str, b: str, kind: str) -> str:
+    return agree(a, b, s.tolerance(kind), s.tolerance("abs_floor"))
 
 
-def _within(settings: Settings, a: Column, b: Column, kind: str) -> Column:
-    return agrees(a, b, settings.tolerance(kind), settings.tolerance("abs_floor"))
+def _absent(*names: str) -> str:
+    return " OR ".join(f"{name} IS NULL" for name in names)
 
 
 def _balance(s: Settings):
-    a, b = c("total_assets"), c("liabilities_and_equity")
-    status = verdict(a.isNull() | b.isNull(), _within(s, a, b, "face_total_rel"))
-    return ((c("qtrs") == 0) & (a.isNotNull() | b.isNotNull()),
-            _row(status, "Assets", a, b, "Assets != LiabilitiesAndStockholdersEquity"))
+    pair = ("total_assets", "liabilities_and_equity")
+    status = verdict(_absent(*pair), _within(s, *pair, "face_total_rel"))
+    return (f"qtrs = 0 AND coalesce({', '.join(pair)}) IS NOT NULL",
+            _row(status, "Assets", *pair, text("Assets != LiabilitiesAndStockholdersEquity")))
 
 
 def _liabilities_and_equity(s: Settings):
-    total = c("total_liabilities") + c("equity_incl_nci") + F.coalesce(c("temporary_equity"), F.lit(0.0))
-    face = c("liabilities_and_equity")
-    not_reported = F.coalesce(c("total_liabilities_status") != "reported", F.lit(True))
-    status = verdict(not_reported | c("equity_incl_nci").isNull(), _within(s, total, face, "multi_term_rel"))
-    return ((c("qtrs") == 0) & face.isNotNull(),
-            _row(status, "Liabilities", total, face,
-                 "Liabilities + equity (incl. NCI) + temporary equity != LiabilitiesAndStockholdersEquity"))
+    total = "total_liabilities + equity_incl_nci + coalesce(temporary_equity, 0D)"
+    face = "liabilities_and_equity"
+    circular = "coalesce(total_liabilities_status, '') <> 'reported'"
+    status = verdict(f"{circular} OR {_absent('equity_incl_nci')}", _within(s, total, face, "multi_term_rel"))
+    words = "Liabilities + equity (incl. NCI) + temporary equity != LiabilitiesAndStockholdersEquity"
+    return f"qtrs = 0 AND {face} IS NOT NULL", _row(status, "Liabilities", total, face, text(words))
 
 
-def _part_of_total(part: str, total: str, tag: str, message):
+def _part_of_total(part: str, total: str, tag: str, message: str):
     def check(s: Settings):
-        a, b = c(part), c(total)
-        slack = F.greatest(F.lit(s.tolerance("face_total_rel")) * F.abs(b), F.lit(s.tolerance("abs_floor")))
-        text = message() if callable(message) else message
-        return (c("qtrs") == 0) & b.isNotNull(), _row(verdict(a.isNull(), a <= b + slack), tag, a, b, text)
+        slack = f"greatest({s.tolerance('face_total_rel')}D * abs({total}), {s.tolerance('abs_floor')}D)"
+        status = verdict(_absent(part), f"{part} - {total} <= {slack}")
+        return f"qtrs = 0 AND {total} IS NOT NULL", _row(status, tag, part, total, message)
     return check
 
 
 def _gross_profit(s: Settings):
-    computed, stated = c("revenue") - c("cost_of_revenue"), c("gross_profit")
-    status = verdict(computed.isNull(), _within(s, computed, stated, "multi_term_rel"))
-    return ((c("qtrs") > 0) & stated.isNotNull() & (c("gross_profit_status") == "reported"),
-            _row(status, "GrossProfit", computed, stated, "Revenue - CostOfRevenue != GrossProfit"))
+    computed, stated = "revenue - cost_of_revenue", "gross_profit"
+    status = verdict(_absent("revenue", "cost_of_revenue"), _within(s, computed, stated, "multi_term_rel"))
+    return ("qtrs > 0 AND gross_profit_status = 'reported'",
+            _row(status, "GrossProfit", computed, stated, text("Revenue - CostOfRevenue != GrossProfit")))
 
 
 def _cash_flow(s: Settings):
-    with_fx = c("cash_change_incl_fx").isNotNull()
-    change = F.coalesce("cash_change_incl_fx", "cash_change_excl_fx")
-    flows = (c("operating_cash_flow") + c("investing_cash_flow") + c("financing_cash_flow")
-             + F.when(with_fx, F.coalesce(c("fx_effect"), F.lit(0.0))).otherwise(F.lit(0.0)))
-    skip = c("investing_cash_flow").isNull() | c("financing_cash_flow").isNull() | change.isNull()
-    variant = F.when(with_fx, F.lit("incl_fx")).otherwise(F.lit("excl_fx"))
-    return ((c("qtrs") > 0) & c("operating_cash_flow").isNotNull(),
+    with_fx = "cash_change_incl_fx IS NOT NULL"
+    change = "coalesce(cash_change_incl_fx, cash_change_excl_fx)"
+    flows = ("operating_cash_flow + investing_cash_flow + financing_cash_flow + "
+             + case((with_fx, "coalesce(fx_effect, 0D)"), otherwise="0D"))
+    skip = _absent("investing_cash_flow", "financing_cash_flow", change)
+    variant = case((with_fx, "'incl_fx'"), otherwise="'excl_fx'")
+    return ("qtrs > 0 AND operating_cash_flow IS NOT NULL",
             _row(verdict(skip, _within(s, flows, change, "multi_term_rel")),
                  "NetCashProvidedByUsedInOperatingActivities", flows, change,
-                 F.concat(F.lit("op + inv + fin (+ fx) != change in cash ("), variant, F.lit(")"))))
+                 f"concat('op + inv + fin (+ fx) != change in cash (', {variant}, ')')"))
 
 
 def _eps(s: Settings):
-    implied, stated = F.try_divide(c("net_income"), c("weighted_shares_basic")), c("eps_basic")
-    close = F.abs(implied - stated) <= F.greatest(F.lit(s.tolerance("eps_rel")) * F.abs(stated), F.lit(0.01))
-    return ((c("qtrs") > 0) & stated.isNotNull(),
-            _row(verdict(implied.isNull(), close), "EarningsPerShareBasic", implied, stated,
-                 "NetIncome / weighted basic shares != EPS basic"))
+    implied, stated = "try_divide(net_income, weighted_shares_basic)", "eps_basic"
+    close = f"abs({implied} - {stated}) <= greatest({s.tolerance('eps_rel')}D * abs({stated}), 0.01D)"
+    return (f"qtrs > 0 AND {stated} IS NOT NULL",
+            _row(verdict(_absent(implied), close), "EarningsPerShareBasic", implied, stated,
+                 text("NetIncome / weighted basic shares != EPS basic")))
 
 
 def _negative_revenue(s: Settings):
-    value = c("value")
-    status = F.when(value < 0, F.lit("fail")).otherwise(F.lit("pass"))
-    return c("metric") == "revenue", unit(
-        status, cik=c("cik"), adsh=c("source_adsh"), period_end=c("period_end"), qtrs=c("qtrs"), tag=c("source_tag"),
-        observed=value, expected=F.lit(0.0), diff=value,
-        message=F.concat(F.lit("negative revenue ("), c("source_tag"), F.lit(")")))
+    return "metric = 'revenue'", unit(
+        pass_unless("value < 0"), cik="cik", adsh="source_adsh", period_end="period_end", qtrs="qtrs",
+        tag="source_tag", observed="value", expected="0", diff="value",
+        message="concat('negative revenue (', source_tag, ')')")
 
 
 def period_continuity(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
@@ -97,42 +94,38 @@ def period_continuity(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame
     year to date needs one equality join on a computed month end.
     """
     keys = ["cik", "metric", "period_end"]
-    flows = tables["fact_normalized"].where(c("metric").isin(CHAINED_FLOWS) & c("qtrs").between(1, 4))
-    wide = flows.groupBy(*keys).agg(*[
-        F.max(F.when(c("qtrs") == n, F.struct("value", "source_adsh"))).alias(f"d{n}") for n in (1, 2, 3, 4)])
-    before = wide.select("cik", "metric", c("period_end").alias("before_end"),
-                         *[c(f"d{n}")["value"].alias(f"before{n}") for n in (1, 2, 3)])
-    joined = (wide.withColumn("before_end", dates.month_end_before(c("period_end"), 3))
+    wide = (tables["fact_normalized"].where(f"qtrs BETWEEN 1 AND 4 AND metric IN ({texts(CHAINED_FLOWS)})")
+            .groupBy(*keys).agg(*[F.expr(f"max(CASE WHEN qtrs = {n} THEN struct(value, source_adsh) END) AS d{n}")
+                                  for n in (1, 2, 3, 4)]))
+    before = wide.selectExpr("cik", "metric", "period_end AS before_end",
+                             *[f"d{n}.value AS before{n}" for n in (1, 2, 3)])
+    joined = (wide.withColumn("before_end", dates.month_end_before(F.col("period_end"), 3))
               .join(before, ["cik", "metric", "before_end"], "left"))
-    chain = F.array_compact(F.array(*[
-        F.when(c(f"d{n}").isNotNull(), F.struct(
-            F.lit(n).alias("qtrs"), c(f"d{n}")["value"].alias("ytd"), c(f"d{n}")["source_adsh"].alias("adsh"),
-            (c(f"before{n - 1}") + c("d1")["value"]).alias("sum")))
-        for n in (2, 3, 4)]))
-    rows = joined.select(*keys, F.explode(chain).alias("x")).select(*keys, "x.*")
-    return rows.select(
-        verdict(c("sum").isNull(), _within(s, c("ytd"), c("sum"), "multi_term_rel")).alias("status"),
-        "cik", "adsh", "period_end", "qtrs", c("metric").alias("tag"), c("ytd").alias("observed"),
-        c("sum").alias("expected"), (c("ytd") - c("sum")).alias("diff"),
-        F.concat(F.lit("YTD("), c("qtrs").cast("string"), F.lit(") != YTD("), (c("qtrs") - 1).cast("string"),
-                 F.lit(") + quarter for "), c("metric")).alias("message"))
+    chain = ", ".join(case((f"d{n} IS NOT NULL", struct({
+        "qtrs": str(n), "observed": f"d{n}.value", "adsh": f"d{n}.source_adsh",
+        "expected": f"before{n - 1} + d1.value"}))) for n in (2, 3, 4))
+    rows = joined.selectExpr(*keys, f"explode(array_compact(array({chain}))) AS x").selectExpr(*keys, "x.*")
+    status = verdict(_absent("expected"), _within(s, "observed", "expected", "multi_term_rel"))
+    return rows.selectExpr(
+        f"{status} AS status", "cik", "adsh", "period_end", "qtrs", "metric AS tag", "observed", "expected",
+        "observed - expected AS diff",
+        "concat('YTD(', qtrs, ') != YTD(', qtrs - 1, ') + quarter for ', metric) AS message")
 
 
 def quarters_sum_to_annual(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """Four standalone quarters against the annual value, joined on company, metric and fiscal year."""
     keys = ["cik", "metric", "fiscal_year"]
-    flows = tables["fact_normalized"].where(c("metric").isin(CHAINED_FLOWS) & c("fiscal_quarter").isNotNull())
+    flows = tables["fact_normalized"].where(
+        f"fiscal_quarter IS NOT NULL AND metric IN ({texts(CHAINED_FLOWS)})")
     annual = (flows.where("qtrs = 4 AND fiscal_quarter = 4")
-              .select(*keys, "period_end", c("value").alias("annual"), "source_adsh"))
+              .selectExpr(*keys, "period_end", "value AS observed", "source_adsh AS adsh"))
     quarters = (flows.where("qtrs = 1").groupBy(*keys)
-                .agg(F.count_distinct("fiscal_quarter").alias("n_quarters"), F.sum("value").alias("total")))
-    few = c("n_quarters").isNull() | (c("n_quarters") < 4)
-    return annual.join(quarters, keys, "left").select(
-        verdict(few, _within(s, c("annual"), c("total"), "multi_term_rel")).alias("status"),
-        "cik", c("source_adsh").alias("adsh"), "period_end", F.lit(4).alias("qtrs"), c("metric").alias("tag"),
-        c("annual").alias("observed"), c("total").alias("expected"), (c("annual") - c("total")).alias("diff"),
-        F.concat(F.lit("sum of Q1..Q4 != annual for "), c("metric"), F.lit(" FY"), c("fiscal_year").cast("string"))
-        .alias("message"))
+                .agg(F.count_distinct("fiscal_quarter").alias("n_quarters"), F.sum("value").alias("expected")))
+    status = verdict("coalesce(n_quarters, 0) < 4", _within(s, "observed", "expected", "multi_term_rel"))
+    return annual.join(quarters, keys, "left").selectExpr(
+        f"{status} AS status", "cik", "adsh", "period_end", "4 AS qtrs", "metric AS tag", "observed", "expected",
+        "observed - expected AS diff",
+        "concat('sum of Q1..Q4 != annual for ', metric, ' FY', fiscal_year) AS message")
 
 
 def outliers(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
@@ -142,22 +135,19 @@ def outliers(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     Both medians use the same partitioning: one shuffle for the whole rule.
     """
     series = Window.partitionBy("cik", "metric", "qtrs")
-    values = tables["fact_normalized"].where(c("datatype").isin("monetary", "shares")).select(
-        "cik", "metric", "qtrs", "period_end", "value", "source_adsh")
+    values = tables["fact_normalized"].where("datatype IN ('monetary', 'shares')").selectExpr(
+        "cik", "metric", "qtrs", "period_end", "value AS observed", "source_adsh AS adsh")
     around = values.withColumns({"n_obs": F.count(F.lit(1)).over(series),
-                                 "center": F.median("value").over(series)})
-    away = F.abs(c("value") - c("center"))
-    spread = around.withColumn("away", away).withColumns({
+                                 "expected": F.median("observed").over(series)})
+    spread = around.selectExpr("*", "observed - expected AS diff", "abs(observed - expected) AS away").withColumns({
         "mad": F.median("away").over(series), "mean_away": F.avg("away").over(series)})
-    sigma = F.when(c("mad") > 0, F.lit(1.4826) * c("mad")).when(c("mean_away") > 0, F.lit(1.2533) * c("mean_away"))
-    judged = spread.withColumn("z", (c("value") - c("center")) / sigma)
-    skip = (c("n_obs") < int(s.tolerance("outlier_min_history")) + 1) | c("z").isNull()
-    return judged.select(
-        verdict(skip, F.abs("z") <= s.tolerance("outlier_sigma")).alias("status"),
-        "cik", c("source_adsh").alias("adsh"), "period_end", "qtrs", c("metric").alias("tag"),
-        c("value").alias("observed"), c("center").alias("expected"), (c("value") - c("center")).alias("diff"),
-        F.concat(F.lit("robust z = "), F.round("z", 1).cast("string"), F.lit(" against "),
-                 c("n_obs").cast("string"), F.lit(" company observations")).alias("message"))
+    sigma = case(("mad > 0", "1.4826D * mad"), ("mean_away > 0", "1.2533D * mean_away"))
+    judged = spread.selectExpr("*", f"diff / ({sigma}) AS z")
+    few = f"n_obs <= {int(s.tolerance('outlier_min_history'))}"
+    status = verdict(f"{few} OR z IS NULL", f"abs(z) <= {s.tolerance('outlier_sigma')}D")
+    return judged.selectExpr(
+        f"{status} AS status", "cik", "adsh", "period_end", "qtrs", "metric AS tag", "observed", "expected", "diff",
+        "concat('robust z = ', round(z, 1), ' against ', n_obs, ' company observations') AS message")
 
 
 WIDE, LONG = "dq_wide", "fact_normalized"
@@ -180,14 +170,15 @@ register(Rule(
 register(Rule(
     "R05", "current_assets_le_total_assets", "plausibility", "error", "company balance-sheet date with total assets",
     "Current assets do not exceed total assets (0.1%). Skipped for balance sheets without current assets.",
-    source=WIDE, check=_part_of_total("current_assets", "total_assets", "AssetsCurrent", "AssetsCurrent > Assets")))
+    source=WIDE, check=_part_of_total("current_assets", "total_assets", "AssetsCurrent",
+                                         text("AssetsCurrent > Assets"))))
 register(Rule(
     "R06", "current_liabilities_le_total_liabilities", "plausibility", "error",
     "company balance-sheet date with total liabilities, reported or derived",
     "Current liabilities do not exceed total liabilities (0.1%). Skipped without current liabilities.",
     source=WIDE, check=_part_of_total(
         "current_liabilities", "total_liabilities", "LiabilitiesCurrent",
-        lambda: F.concat(F.lit("LiabilitiesCurrent > Liabilities ("), c("total_liabilities_status"), F.lit(")")))))
+        "concat('LiabilitiesCurrent > Liabilities (', total_liabilities_status, ')')")))
 register(Rule(
     "R07", "period_continuity", "continuity", "error", "year-to-date flow of a company, metric and period end",
     "A year to date equals the previous year to date plus the quarter within 0.5%. Skipped when either is absent.",

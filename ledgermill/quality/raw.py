@@ -7,30 +7,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import dates
-from ledgermill.quality.contract import Rule, register, unit
+from ledgermill.functions.sqltext import case
+from ledgermill.quality.contract import Rule, counted, pass_unless, register, unit
 from ledgermill.schema import NUM_KEY, QUARTER
 from ledgermill.settings import Settings
 
-c = F.col
-
 
 def duplicate_keys(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """Number keys that repeat within a quarter; one failing row per key, weighing all its rows.
 
     Grouping by the key columns treats NULLs as equal and combines copies on the map side.
     """
-    groups = tables["raw_num"].groupBy(*NUM_KEY, QUARTER).agg(F.count(F.lit(1)).alias("k"))
-    repeated = c("k") > 1
-    status = F.when(repeated, F.lit("fail")).otherwise(F.lit("pass"))
-
-    def detail(value):
-        return F.when(repeated, value)
-
-    message = F.concat(F.lit("key duplicated "), c("k").cast("string"), F.lit("x in "), c(QUARTER), F.lit(" num.txt"))
-    return groups.select(unit(
-        status, c("k"), adsh=detail(c("adsh")), period_end=detail(dates.compact_date(c("ddate"))),
-        qtrs=detail(c("qtrs")), tag=detail(c("tag")), observed=detail(c("k")), expected=detail(F.lit(1)),
-        diff=detail(c("k") - 1), message=detail(message)).alias("u")).select("u.*")
+    groups = (tables["raw_num"].groupBy(*NUM_KEY, QUARTER).agg(F.count(F.lit(1)).alias("k"))
+              .withColumn("period_end", dates.compact_date(F.col("ddate"))))
+    judged = counted(pass_unless("k > 1"), n="k", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag",
+                     observed="k", expected="1", diff="k - 1",
+                     message=f"concat('key duplicated ', k, 'x in ', {QUARTER}, ' num.txt')")
+    return groups.selectExpr(f"{judged} AS u").select("u.*")
 
 
 def dangling_references(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
@@ -40,29 +33,23 @@ def dangling_references(tables: Mapping[str, DataFrame], s: Settings) -> DataFra
     The lookups are unique per key, so the outer joins keep the row count, and adaptive execution may split a
     hot tag or filing.
     """
-    declared = tables["raw_tag"].select("tag", "version").distinct().withColumn("_declared", F.lit(True))
-    filed = tables["raw_sub"].select("adsh").distinct().withColumn("_filed", F.lit(True))
+    declared = tables["raw_tag"].select("tag", "version").distinct().withColumn("declared", F.lit(True))
+    filed = tables["raw_sub"].select("adsh").distinct().withColumn("known", F.lit(True))
     numbers = (tables["raw_num"].select("adsh", "tag", "version", "ddate", "qtrs")
-               .join(declared, ["tag", "version"], "left").join(filed, "adsh", "left"))
-    rows = (tables["raw_pre"].select("adsh", "tag", "version")
-            .join(declared, ["tag", "version"], "left"))
-    end = dates.compact_date(c("ddate"))
-
-    def undeclared(source):
-        return F.concat(F.lit(f"{source} tag/version "), c("version"), F.lit(" not in tag.txt"))
-
-    no_tag, no_filing = c("_declared").isNull(), c("_filed").isNull()
-    balance = F.lit(1) - no_tag.cast("int") - no_filing.cast("int")
-    of_numbers = F.array_compact(F.array(
-        F.when(balance != 0, unit(F.lit("pass"), balance)),
-        F.when(no_tag, unit(F.lit("fail"), adsh=c("adsh"), period_end=end, qtrs=c("qtrs"), tag=c("tag"),
-                            message=undeclared("num"))),
-        F.when(no_filing, unit(F.lit("fail"), adsh=c("adsh"), period_end=end, qtrs=c("qtrs"), tag=c("tag"),
-                               message=F.lit("num accession not in sub.txt")))))
-    of_rows = F.when(no_tag, unit(F.lit("fail"), adsh=c("adsh"), tag=c("tag"), message=undeclared("pre"))).otherwise(
-        unit(F.lit("pass")))
-    return (numbers.select(F.explode(of_numbers).alias("u")).select("u.*")
-            .unionByName(rows.select(of_rows.alias("u")).select("u.*")))
+               .join(declared, ["tag", "version"], "left").join(filed, "adsh", "left")
+               .withColumn("period_end", dates.compact_date(F.col("ddate"))))
+    rows = tables["raw_pre"].select("adsh", "tag", "version").join(declared, ["tag", "version"], "left")
+    where = {"adsh": "adsh", "period_end": "period_end", "qtrs": "qtrs", "tag": "tag"}
+    balance = "1 - int(declared IS NULL) - int(known IS NULL)"
+    of_numbers = ", ".join([
+        case((f"{balance} <> 0", unit("'pass'", n=balance))),
+        case(("declared IS NULL",
+              unit("'fail'", message="concat('num tag/version ', version, ' not in tag.txt')", **where))),
+        case(("known IS NULL", unit("'fail'", message="'num accession not in sub.txt'", **where)))])
+    of_rows = counted(pass_unless("declared IS NULL"), adsh="adsh", tag="tag",
+                      message="concat('pre tag/version ', version, ' not in tag.txt')")
+    return (numbers.selectExpr(f"explode(array_compact(array({of_numbers}))) AS u").select("u.*")
+            .unionByName(rows.selectExpr(f"{of_rows} AS u").select("u.*")))
 
 
 register(Rule(

@@ -28,8 +28,8 @@ def evaluate(tables: Mapping[str, DataFrame], settings: Settings, rules: Iterabl
             by_source[rule.source].append(rule)
         for build in (rule.build, rule.extra):
             if build is not None:
-                part = conform(build(tables, settings)).withColumn("rule_id", F.lit(rule.id))
-                parts.append((part, rule.compact))
+                units = conform(build(tables, settings)).selectExpr(f"'{rule.id}' AS rule_id", "*")
+                parts.append((units, rule.compact))
     for source, members in by_source.items():
         for compact in (False, True):
             chosen = [r for r in members if r.compact == compact]

@@ -17,6 +17,8 @@ ENGINE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
+    # call-site capture costs several driver round trips per Column and nothing here reads it
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
