@@ -27,7 +27,7 @@ def names(items) -> str:
     return ", ".join(q(i) for i in items)
 
 
-REL: dict[str, str] = {}
+REL: dict[str, str] = {}  # name -> SELECT
 
 # ---- configuration ------------------------------------------------------------------------------------------
 
@@ -70,10 +70,10 @@ SELECT s.adsh, t.tag, CASE WHEN l_partkey % 50 = 7 THEN s.adsh ELSE '{STANDARD}'
         ELSE (s.cik % 7 + 1) * 100000 * (1 + 0.05::DOUBLE * (year(l_shipdate) - 1995)) END
     * CASE WHEN t.iord = 'D' THEN 1 + l_linenumber % 4 ELSE 1 END
     * CASE WHEN t.idx % 7 <> l_linenumber - 1 THEN 1.0::DOUBLE WHEN l_tax > 0.065 THEN 1.05::DOUBLE
-        WHEN l_tax > 0.035 THEN 1.0005::DOUBLE ELSE 1.0::DOUBLE END
+        WHEN l_tax > 0.035 THEN 1.0005::DOUBLE ELSE 1.0::DOUBLE END, 4)
     * CASE WHEN t.tag = 'InventoryNet' AND l_quantity > 49 THEN -1.0::DOUBLE
         WHEN t.tag = 'Assets' AND l_quantity > 49 AND l_discount > 0.095 THEN 1e9::DOUBLE
-        ELSE 1.0::DOUBLE END, 4) END AS value,
+        ELSE 1.0::DOUBLE END END AS value,
   CAST(NULL AS VARCHAR) AS footnote, s.dataset_quarter
 FROM lineitem l JOIN raw_sub s ON s.adsh = lpad(CAST(l_orderkey AS VARCHAR), 10, '0')
 JOIN template t ON t.idx % 5 = l_partkey % 5"""
@@ -410,6 +410,9 @@ def _order(needed: set[str], seen: list[str], name: str) -> None:
 def statement(sql: str) -> str:
     """``sql`` with the relations it reads in front of it, each computed once."""
     seen: list[str] = []
+    sql = sql.strip()
+    if sql.startswith("WITH"):
+        sql = f"SELECT * FROM ({sql})"
     REL["_query"] = sql
     try:
         _order(set(), seen, "_query")

@@ -35,9 +35,10 @@ def build_session(master: str | None = None, app_name: str = "ledgermill", **ext
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the engine settings to a session made elsewhere."""
+    """Apply the engine settings to a session made elsewhere, as far as a running session allows."""
     for key, value in ENGINE_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 

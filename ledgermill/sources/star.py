@@ -115,7 +115,7 @@ def raw_num(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("l_suppkey") % 97 == 3, F.lit("EUR"))
         .when(F.col("l_suppkey") % 89 == 3, F.lit("usd")).otherwise(F.lit("USD")).alias("uom"),
         F.when(F.col("l_returnflag") == "R", F.lit("Segment=R;")).alias("segments"),
-        F.when(F.col("l_quantity") != 2, F.round(F.col("coef") * scale * length * noise * defect, 4))
+        F.when(F.col("l_quantity") != 2, F.round(F.col("coef") * scale * length * noise, 4) * defect)
         .alias("value"),
         QUARTER,
     ), "num")
