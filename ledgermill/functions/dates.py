@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 
 def compact_date(text: Column) -> Column:
-    """``YYYYMMDD`` text as a date; anything else, an impossible day included, is NULL."""
-    return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
+    """``YYYYMMDD`` text as a date; anything else, an impossible day included, is NULL.
+
+    A cast of ``YYYY-MM-DD`` is several times cheaper than parsing with a pattern.
+    """
+    dashed = F.concat(F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2), F.lit("-"),
+                      F.substring(text, 7, 2))
+    return F.when(F.length(text) == 8, dashed.try_cast("date"))
 
 
 def period_key(period_end: Column, qtrs: Column) -> Column:

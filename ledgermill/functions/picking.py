@@ -11,12 +11,14 @@ def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     """One row per key, the first in ``order``.
 
     ``row_number() = 1`` makes Spark add a group limit on the map side, so a key with very many copies
-    leaves one row per input partition before the shuffle.
+    leaves one row per input partition before the shuffle. A hash of the key leads the sort: eight bytes then
+    decide nearly every comparison, instead of a walk over the key columns.
     """
-    spec = Window.partitionBy(*keys).orderBy(*order)
-    return (df.withColumn("_rank", F.row_number().over(spec))
+    spec = Window.partitionBy("_hash", *keys).orderBy(*order)
+    return (df.withColumn("_hash", F.xxhash64(*keys))
+            .withColumn("_rank", F.row_number().over(spec))
             .where(F.col("_rank") == 1)
-            .drop("_rank"))
+            .drop("_rank", "_hash"))
 
 
 def latest_where(condition: Column, order: Sequence[str], *payload: Column | str) -> Column:

@@ -85,40 +85,63 @@ def pass_unless(bad: str) -> str:
     return case((bad, "'fail'"), otherwise="'pass'")
 
 
+def _typed(given: Mapping[str, str], names: list[str]) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in RULE_OUTPUT.fields}
+    return struct({name: f"CAST({given.get(name, 'NULL')} AS {kinds[name]})" for name in names})
+
+
 def unit(status: str, **details: str) -> str:
     """One judged unit as a struct of the rule output type."""
-    given = {"n": "1", **details, "status": status}
-    return struct({f.name: f"CAST({given.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
-                   for f in RULE_OUTPUT.fields})
+    return _typed({"n": "1", **details, "status": status}, [f.name for f in RULE_OUTPUT.fields])
+
 
+def detail(**details: str) -> str:
+    """The details of a unit as one struct."""
+    return _typed(details, DETAILS)
 
-def counted(status: str, **details: str) -> str:
-    """A unit that keeps its details only when it fails; used by compacted rules."""
-    n = details.pop("n", "1")
-    return unit(status, n=n, **{k: case((f"{status} = 'fail'", v)) for k, v in details.items()})
+
+def counted(bad: str, n: str = "1", **details: str) -> str:
+    """A unit of a compacted rule: details exist only where it fails, so a pass costs next to nothing."""
+    return struct({"status": pass_unless(bad), "n": f"CAST({n} AS bigint)", "d": case((bad, detail(**details)))})
 
 
 def checked(source: DataFrame, rules: list[Rule], settings: Settings) -> DataFrame:
     """All row-by-row checks of one table in a single pass over it: ``rule_id`` and the unit columns."""
-    results = []
-    for rule in rules:
-        applies, result = rule.check(settings)
-        results.append(case((applies, struct({"rule_id": text(rule.id), "u": result}))))
-    return (source.selectExpr(f"explode(array_compact(array({', '.join(results)}))) AS x")
-            .selectExpr("x.rule_id", "x.u.*"))
+    checks = [(rule, *rule.check(settings)) for rule in rules]
+    if len(checks) == 1:
+        rule, applies, result = checks[0]
+        return source.where(applies).selectExpr(f"{text(rule.id)} AS rule_id", f"{result} AS u").select("rule_id", "u.*")
+    results = ", ".join(case((applies, struct({"rule_id": text(rule.id), "u": result})))
+                        for rule, applies, result in checks)
+    return source.selectExpr(f"explode(array_compact(array({results}))) AS x").select("x.rule_id", "x.u.*")
+
+
+def packed(units: DataFrame) -> DataFrame:
+    """Units with their details in one struct ``d``."""
+    if "d" in units.columns:
+        return units.selectExpr("status", "n", "d")
+    return conform(units).selectExpr("status", "n", f"struct({', '.join(DETAILS)}) AS d")
 
 
 def compacted(units: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add up passes and skips that are equal in everything; a failure keeps its weight and reappears once per
-    occurrence."""
-    spark = units.sparkSession
-    rows = [(r.id, status, 0, *[message if d == "message" else None for d in DETAILS])
-            for r in rules for status, message in r.always]
-    baseline = spark.createDataFrame(rows, units.schema)
+    occurrence. Takes and gives ``rule_id``, ``status``, ``n`` and the details, packed on the way in."""
+    baseline = [(r.id, status, 0, message) for r in rules for status, message in r.always]
+    always = (units.sparkSession.createDataFrame(baseline, "rule_id string, status string, n bigint, message string")
+              .selectExpr("rule_id", "status", "n",
+                          case(("message IS NOT NULL", detail(message="message"))) + " AS d"))
     fails = F.col("status") == "fail"
-    totals = (units.unionByName(baseline).withColumn("_weight", F.when(fails, F.col("n")))
-              .groupBy("rule_id", "status", *DETAILS, "_weight")
-              .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("_rows")))
-    copies = F.when(fails, F.col("_rows")).otherwise(F.lit(1).cast("long"))
-    return (totals.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-            .select("rule_id", "status", F.coalesce("_weight", "n").alias("n"), *DETAILS))
+    totals = (units.unionByName(always).withColumn("weight", F.when(fails, F.col("n")))
+              .groupBy("rule_id", "status", "d", "weight")
+              .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("copies")))
+    once = "sequence(1L, CASE WHEN status = 'fail' THEN copies ELSE 1L END)"
+    return (totals.selectExpr("rule_id", "status", "coalesce(weight, n) AS n", "d", f"explode({once}) AS copy")
+            .select("rule_id", "status", "n", "d.*"))
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """One union of many frames, as a balanced tree: every step is analysed anew, so depth costs."""
+    while len(parts) > 1:
+        pairs = [parts[i:i + 2] for i in range(0, len(parts), 2)]
+        parts = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return parts[0]

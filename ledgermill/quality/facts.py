@@ -9,10 +9,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.functions.sqltext import any_of, case, text, texts
+from ledgermill.functions.sqltext import any_of, case, struct, text, texts
 from ledgermill.operators.facts import CONSOLIDATED_STANDARD
 from ledgermill.operators.restatements import FACT_KEY, comparable
-from ledgermill.quality.contract import Rule, counted, pass_unless, register, unit
+from ledgermill.quality.contract import Rule, counted, detail, register
 from ledgermill.settings import Settings, split_tag
 
 FACTS, TYPED = "fact_financial_facts", "typed_facts"
@@ -20,8 +20,8 @@ CURRENCY_CODE = "^[A-Z]{3}$"
 SHORT_DURATION = "duration tag with sub-quarter duration (qtrs rounded to 0)"
 
 
-def _fact(status: str, **details: str) -> str:
-    return counted(status, cik="cik", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag", **details)
+def _fact(bad: str, **details: str) -> str:
+    return counted(bad, cik="cik", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag", **details)
 
 
 def _sign(s: Settings):
@@ -29,7 +29,7 @@ def _sign(s: Settings):
     candidates = [f"tag IN ({texts(name for taxonomy, name in listed if taxonomy is None)})"]
     candidates += [f"(tag = {text(name)} AND taxonomy = {text(taxonomy)})" for taxonomy, name in listed if taxonomy]
     return (f"{CONSOLIDATED_STANDARD} AND {any_of(candidates)}",
-            _fact(pass_unless("value < 0"), observed="value", expected="0", diff="value",
+            _fact("value < 0", observed="value", expected="0", diff="value",
                   message=text("negative value for a tag whose natural balance is non-negative")))
 
 
@@ -37,7 +37,7 @@ def _unit(s: Settings):
     fits = case(("datatype IN ('monetary', 'perShare')", f"uom RLIKE {text(CURRENCY_CODE)}"),
                 ("datatype IN ('shares', 'pure')", "uom = datatype"))
     return (f"{CONSOLIDATED_STANDARD} AND ({fits}) IS NOT NULL",
-            _fact(pass_unless(f"NOT ({fits})"),
+            _fact(f"NOT ({fits})",
                   message="concat('unit ', uom, ' inconsistent with datatype ', datatype)"))
 
 
@@ -53,18 +53,14 @@ def several_currencies(tables: Mapping[str, DataFrame], s: Settings) -> DataFram
 
 
 def _period_kind(s: Settings):
-    status = case(("iord = 'I' AND qtrs = 0", "'pass'"), ("iord = 'I' AND qtrs > 0", "'fail'"),
-                  ("iord = 'D' AND qtrs > 0", "'pass'"), ("iord = 'D' AND qtrs = 0", "'skip'"))
-
-    def detail(value: str) -> str:
-        return case(("iord = 'I' AND qtrs > 0", value))
-
-    message = case(("qtrs = 0 AND iord = 'D'", text(SHORT_DURATION)),
-                   ("iord = 'I' AND qtrs > 0",
-                    "concat('instant tag reported with a duration of ', qtrs, ' quarters')"))
-    return (f"({status}) IS NOT NULL",
-            unit(status, message=message, expected=detail("0"), observed=detail("qtrs"), diff=detail("qtrs"),
-                 **{name: detail(name) for name in ("cik", "adsh", "period_end", "qtrs", "tag")}))
+    wrong, unclear = "iord = 'I' AND qtrs > 0", "iord = 'D' AND qtrs = 0"
+    right = "(iord = 'I' AND qtrs = 0) OR (iord = 'D' AND qtrs > 0)"
+    details = detail(cik="cik", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag", observed="qtrs",
+                     expected="0", diff="qtrs",
+                     message="concat('instant tag reported with a duration of ', qtrs, ' quarters')")
+    return (f"{right} OR ({wrong}) OR ({unclear})", struct({
+        "status": case((wrong, "'fail'"), (unclear, "'skip'"), otherwise="'pass'"), "n": "1L",
+        "d": case((wrong, details), (unclear, detail(message=text(SHORT_DURATION))))}))
 
 
 def _magnitude(s: Settings):
@@ -72,7 +68,7 @@ def _magnitude(s: Settings):
                  ("datatype = 'shares'", f"{s.tolerance('magnitude_shares_max')}D"),
                  ("datatype = 'perShare'", f"{s.tolerance('magnitude_eps_max')}D"))
     return ("is_consolidated AND datatype IN ('monetary', 'shares', 'perShare')",
-            _fact(pass_unless(f"abs(value) > ({limit})"), observed="value",
+            _fact(f"abs(value) > ({limit})", observed="value",
                   message="concat('implausible magnitude for ', datatype, ' value in ', uom)"))
 
 
@@ -92,7 +88,7 @@ def restatement_units(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame
             "max(authoritative_value) AS observed", f"{earliest} AS expected")])
     message = ("concat('reported in ', n_versions, ' filings, values differ by up to ', round(largest * 100, 2), "
                "'%')")
-    judged = _fact(pass_unless("n_versions IS NOT NULL"), observed="observed", expected="expected",
+    judged = _fact("n_versions IS NOT NULL", observed="observed", expected="expected",
                    diff="observed - expected", message=message)
     return several.join(restated, FACT_KEY, "left").selectExpr(f"{judged} AS u").select("u.*")
 

@@ -5,11 +5,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill.functions import dates
-from ledgermill.functions.sqltext import case
-from ledgermill.quality.contract import Rule, counted, pass_unless, register, unit
-from ledgermill.schema import NUM_KEY, QUARTER
+from ledgermill.functions.sqltext import case, struct
+from ledgermill.quality.contract import DETAILS, Rule, counted, detail, register
+from ledgermill.schema import NUM_KEY, QUARTER, RULE_OUTPUT
 from ledgermill.settings import Settings
 
 
@@ -20,7 +21,7 @@ def duplicate_keys(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """
     groups = (tables["raw_num"].groupBy(*NUM_KEY, QUARTER).agg(F.count(F.lit(1)).alias("k"))
               .withColumn("period_end", dates.compact_date(F.col("ddate"))))
-    judged = counted(pass_unless("k > 1"), n="k", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag",
+    judged = counted("k > 1", n="k", adsh="adsh", period_end="period_end", qtrs="qtrs", tag="tag",
                      observed="k", expected="1", diff="k - 1",
                      message=f"concat('key duplicated ', k, 'x in ', {QUARTER}, ' num.txt')")
     return groups.selectExpr(f"{judged} AS u").select("u.*")
@@ -40,18 +41,26 @@ def dangling_references(tables: Mapping[str, DataFrame], s: Settings) -> DataFra
                .withColumn("period_end", dates.compact_date(F.col("ddate"))))
     rows = tables["raw_pre"].select("adsh", "tag", "version").join(declared, ["tag", "version"], "left")
     where = {"adsh": "adsh", "period_end": "period_end", "qtrs": "qtrs", "tag": "tag"}
-    balance = "1 - int(declared IS NULL) - int(known IS NULL)"
-    of_numbers = ", ".join([
-        case((f"{balance} <> 0", unit("'pass'", n=balance))),
-        case(("declared IS NULL",
-              unit("'fail'", message="concat('num tag/version ', version, ' not in tag.txt')", **where))),
-        case(("known IS NULL", unit("'fail'", message="'num accession not in sub.txt'", **where)))])
-    of_rows = counted(pass_unless("declared IS NULL"), adsh="adsh", tag="tag",
+    fine = struct({"status": "'pass'", "n": "1L", "d": f"CAST(NULL AS {_detail_type()})"})
+
+    def failure(message: str) -> str:
+        return struct({"status": "'fail'", "n": "1L", "d": detail(message=message, **where)})
+
+    no_tag = failure("concat('num tag/version ', version, ' not in tag.txt')")
+    no_filing = failure("'num accession not in sub.txt'")
+    both = struct({"status": "'pass'", "n": "-1L", "d": f"CAST(NULL AS {_detail_type()})"})
+    of_numbers = case(("declared AND known", f"array({fine})"), ("known", f"array({no_tag})"),
+                      ("declared", f"array({no_filing})"), otherwise=f"array({both}, {no_tag}, {no_filing})")
+    of_rows = counted("declared IS NULL", adsh="adsh", tag="tag",
                       message="concat('pre tag/version ', version, ' not in tag.txt')")
-    return (numbers.selectExpr(f"explode(array_compact(array({of_numbers}))) AS u").select("u.*")
+    return (numbers.selectExpr(f"explode({of_numbers}) AS u").select("u.*")
             .unionByName(rows.selectExpr(f"{of_rows} AS u").select("u.*")))
 
 
+def _detail_type() -> str:
+    return T.StructType([f for f in RULE_OUTPUT.fields if f.name in DETAILS]).simpleString()
+
+
 register(Rule(
     "R12", "duplicate_fact_rows", "duplicate", "error", "raw number row, all forms and quarters",
     "No number key repeats within one dataset quarter. Every row of a repeated key counts as a failure.",

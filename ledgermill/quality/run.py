@@ -3,12 +3,11 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.quality.contract import Rule, checked, compacted, conform, registry
+from ledgermill.quality.contract import Rule, checked, compacted, conform, packed, registry, union_all
 from ledgermill.schema import RULE_OUTPUT
 from ledgermill.settings import Settings
 
@@ -22,26 +21,24 @@ def evaluate(tables: Mapping[str, DataFrame], settings: Settings, rules: Iterabl
     """
     rules = list(registry.values()) if rules is None else list(rules)
     by_source: dict[str, list[Rule]] = defaultdict(list)
-    parts: list[tuple[DataFrame, bool]] = []
+    plain: list[DataFrame] = []
+    dense: list[DataFrame] = []
     for rule in rules:
         if rule.check is not None:
             by_source[rule.source].append(rule)
         for build in (rule.build, rule.extra):
             if build is not None:
-                units = conform(build(tables, settings)).selectExpr(f"'{rule.id}' AS rule_id", "*")
-                parts.append((units, rule.compact))
+                units = build(tables, settings)
+                units = packed(units) if rule.compact else conform(units)
+                (dense if rule.compact else plain).append(units.selectExpr(f"'{rule.id}' AS rule_id", "*"))
     for source, members in by_source.items():
-        for compact in (False, True):
+        for compact, target in ((False, plain), (True, dense)):
             chosen = [r for r in members if r.compact == compact]
             if chosen:
-                parts.append((checked(tables[source], chosen, settings), compact))
-    parts = [(df.select("rule_id", *OUTPUT), compact) for df, compact in parts]
-    plain = [df for df, compact in parts if not compact]
-    dense = [df for df, compact in parts if compact]
+                target.append(checked(tables[source], chosen, settings))
     if dense:
-        plain.append(compacted(reduce(DataFrame.unionByName, dense), [r for r in rules if r.compact])
-                     .select("rule_id", *OUTPUT))
-    return reduce(DataFrame.unionByName, plain)
+        plain.append(compacted(union_all(dense), [r for r in rules if r.compact]))
+    return union_all(plain)
 
 
 def run_rule(rule: Rule, tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
