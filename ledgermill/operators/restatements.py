@@ -17,6 +17,21 @@ def comparable(facts: DataFrame) -> DataFrame:
     return facts.where(f"{CONSOLIDATED_STANDARD} AND taxonomy <> 'dei'")
 
 
+def disputed_facts(facts: DataFrame) -> DataFrame:
+    """All versions of the facts that have more than one value anywhere.
+
+    The keys come from one hash aggregation over two numbers per fact, and few keys remain, so the versions are
+    a small table from here on. It contains every version of a fact or none, hence what is computed from it is
+    what would be computed from all facts.
+    """
+    columns = [*FACT_KEY, "adsh", "form", "filed", "value", "is_current_period", "version", "taxonomy",
+               "is_consolidated", "is_custom_tag"]
+    source = comparable(facts).select(*columns)
+    keys = (source.groupBy(*FACT_KEY).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+            .where("low <> high").select(*FACT_KEY))
+    return source.join(keys, FACT_KEY, "left_semi")
+
+
 def fact_versions(facts: DataFrame) -> DataFrame:
     """One version per fact and filing, the latest taxonomy version."""
     columns = [*FACT_KEY, "adsh", "form", "filed", "value", "is_current_period", "version"]
@@ -25,7 +40,7 @@ def fact_versions(facts: DataFrame) -> DataFrame:
 
 
 def restatements(facts: DataFrame, restatement_rel: float) -> DataFrame:
-    """All versions of the facts whose versions differ.
+    """All versions of the facts whose versions differ, from all facts or from :func:`disputed_facts`.
 
     A fact may have any number of versions, so nothing here windows over a fact. The authoritative version
     and the largest difference are aggregates with map-side combine, joined back; the join side they form is

@@ -23,11 +23,11 @@ from ledgermill.settings import Settings
 # Written once: each has several consumers. Serving tables are also laid out by the columns they are asked for,
 # so that file and row-group statistics skip other companies; ranges of (cik, period_end) split a large company.
 WRITTEN = {"raw_sub", "raw_num", "raw_tag", "raw_pre", "dim_filing", "dim_company", "dim_tag",
-           "fact_financial_facts", "filing_currency", "restatements", "fact_reported", "fact_normalized", "dq_wide",
-           "ratio_rows", "fact_ratios", "dq_units", "dq_results", "dq_summary", "sector_ratio_latest"}
+           "fact_financial_facts", "filing_currency", "disputed_facts", "restatements", "fact_reported",
+           "fact_normalized", "dq_wide", "ratio_rows", "fact_ratios", "dq_units", "dq_results", "dq_summary", "sector_ratio_latest"}
 LAYOUT = {
     "fact_normalized": ["cik", "period_end"],
-    "fact_ratios": ["cik", "period_end"],
+    "ratio_rows": ["cik", "period_end"],  # fact_ratios is computed row by row from it and keeps its order
     "sector_ratio_latest": ["sector", "ratio", "cik"],
 }
 AUDITED = ["raw_sub", "raw_num", "raw_tag", "raw_pre", "dim_filing", "dim_company", "dim_period", "dim_tag",
@@ -35,9 +35,9 @@ AUDITED = ["raw_sub", "raw_num", "raw_tag", "raw_pre", "dim_filing", "dim_compan
 
 
 class Warehouse(Mapping):
-    """Tables by name. ``sources`` gives the four raw tables, as DataFrames or as functions returning them."""
+    """Tables by name. ``sources`` gives the four raw tables, as DataFrames or as functions of the warehouse."""
 
-    def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | Callable[[], DataFrame]],
+    def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | Callable[[Mapping[str, DataFrame]], DataFrame]],
                  settings: Settings | None = None, path: str | None = None, write: bool = True,
                  rules: Iterable[Rule] | None = None):
         self.spark = spark
@@ -98,7 +98,7 @@ class Warehouse(Mapping):
 
         def source(name):
             value = self._sources[name]
-            return value if isinstance(value, DataFrame) else value()
+            return value if isinstance(value, DataFrame) else value(self)
 
         plans = {
             **{name: (lambda name=name: source(name)) for name in self._sources},
@@ -108,8 +108,9 @@ class Warehouse(Mapping):
             "dim_tag": lambda: dims.dim_tag(self["raw_tag"]),
             "fact_financial_facts": lambda: facts.fact_financial_facts(
                 self["raw_num"], self["dim_filing"], self["dim_company"]),
+            "disputed_facts": lambda: restatements.disputed_facts(self["fact_financial_facts"]),
             "restatements": lambda: restatements.restatements(
-                self["fact_financial_facts"], s.tolerance("restatement_rel")),
+                self["disputed_facts"], s.tolerance("restatement_rel")),
             "filing_currency": lambda: facts.filing_currency(self["fact_financial_facts"], self["dim_tag"]),
             "fact_reported": lambda: normalize.resolve(
                 self["fact_financial_facts"], self["dim_tag"], self["filing_currency"], self["restatements"], s),

@@ -58,6 +58,14 @@ def _padded(df: DataFrame, name: str) -> DataFrame:
                        for f in staged(name).fields])
 
 
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A driver table. One that comes in fewer files than there are cores is spread over the cores first, as a
+    file with a single row group is a single task; tables of many files are left as they are."""
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+
+
 def _submissions(orders: DataFrame) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     key, company = F.col("o_orderkey"), F.col("o_custkey") % 100
@@ -83,11 +91,11 @@ def _submissions(orders: DataFrame) -> DataFrame:
 
 
 def raw_sub(spark: SparkSession, folder: str) -> DataFrame:
-    return _padded(_submissions(spark.read.parquet(f"{folder}/orders.parquet")), "sub")
+    return _padded(_submissions(_read(spark, folder, "orders")), "sub")
 
 
 def raw_num(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines = _read(spark, folder, "lineitem")
     filings = (_submissions(spark.read.parquet(f"{folder}/orders.parquet"))
                .select("adsh", "cik", QUARTER))
     shipped = F.col("l_shipdate").cast("date")
@@ -129,9 +137,10 @@ def raw_tag(spark: SparkSession, folder: str) -> DataFrame:
         F.col("tag").alias("tlabel"), F.lit("").alias("doc"), F.lit("1995q1").alias(QUARTER)), "tag")
 
 
-def raw_pre(spark: SparkSession, folder: str) -> DataFrame:
-    used = raw_num(spark, folder).select("adsh", "tag", "version", QUARTER).distinct()
-    kinds = template(spark).select("tag", F.when(F.col("iord") == "I", F.lit("BS")).otherwise(F.lit("IS"))
+def raw_pre(numbers: DataFrame) -> DataFrame:
+    """One presentation row per filing and tag in use."""
+    used = numbers.select("adsh", "tag", "version", QUARTER).distinct()
+    kinds = template(numbers.sparkSession).select("tag", F.when(F.col("iord") == "I", F.lit("BS")).otherwise(F.lit("IS"))
                                    .alias("stmt"))
     return _padded(used.join(F.broadcast(kinds), "tag").select(
         "adsh", F.lit(1).alias("report"), F.lit(1).alias("line"), "stmt", F.lit(0).alias("inpth"),
@@ -140,10 +149,10 @@ def raw_pre(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, folder: str) -> dict:
-    """The four raw tables as functions, so that nothing is planned before it is needed."""
+    """The four raw tables as functions of the warehouse, so that nothing is planned before it is needed."""
     return {
-        "raw_sub": lambda: raw_sub(spark, folder),
-        "raw_num": lambda: raw_num(spark, folder),
-        "raw_tag": lambda: raw_tag(spark, folder),
-        "raw_pre": lambda: raw_pre(spark, folder),
+        "raw_sub": lambda tables: raw_sub(spark, folder),
+        "raw_num": lambda tables: raw_num(spark, folder),
+        "raw_tag": lambda tables: raw_tag(spark, folder),
+        "raw_pre": lambda tables: raw_pre(tables["raw_num"]),
     }

@@ -87,3 +87,14 @@ def test_idempotent_and_forced(spark, tmp_path):
 def test_quarter_window():
     assert quarter_window("2026q2", 3) == ["2025q4", "2026q1", "2026q2"]
     assert len(quarter_window("2026q2", 8)) == 8 and quarter_window("2026q2", 8)[0] == "2024q3"
+
+
+def test_arriving_quarters(spark, tmp_path):
+    from ledgermill.streaming.arrival import watch_numbers
+    source, target, marks = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "marks")
+    write_quarter(tmp_path / "in" / "2024q3")
+    watch_numbers(spark, source, target, marks).awaitTermination()
+    write_quarter(tmp_path / "in" / "2024q4", [line("num", adsh=ADSH, tag="Assets", qtrs=0, value=7)])
+    watch_numbers(spark, source, target, marks).awaitTermination()
+    rows = spark.read.parquet(target).groupBy("dataset_quarter").count().collect()
+    assert {r["dataset_quarter"]: r["count"] for r in rows} == {"2024q3": 3, "2024q4": 4}

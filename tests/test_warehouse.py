@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions.ranking import exact_quantiles, value_ranks
 from ledgermill.operators import ratios, sector
 from ledgermill.operators.normalize import derive
-from ledgermill.operators.restatements import restatements
+from ledgermill.operators.restatements import disputed_facts, restatements
 from ledgermill.settings import Settings
 from tests.build import A, Tables, day
 
@@ -81,6 +81,10 @@ def test_restatements(spark):
     assert old["delta"] == -10 and old["rel_diff"] == pytest.approx(10 / 110)
     assert rows["Revenues", A2]["group_max_rel_diff"] == pytest.approx(10 / 110)
     assert rows["Assets", A1]["classification"] == "rounding_diff"
+    facts = t.frame(spark, "fact_financial_facts")
+    assert disputed_facts(facts).select("tag").distinct().count() == 2
+    again = restatements(disputed_facts(facts), 0.001)
+    assert again.count() == 4 and again.exceptAll(restatements(facts, 0.001)).count() == 0
 
 
 def test_amendment_wins_a_tie(spark):
