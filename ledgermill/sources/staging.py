@@ -7,6 +7,7 @@ logged as failed and is not read by anyone.
 from __future__ import annotations
 
 import time
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,7 @@ def load_quarter(spark: SparkSession, folder: str, quarter: str, root: str, sett
         if verify_lines:
             seen = spark.read.text(path).count() - 1
             if seen != results[name].lines:
-                print(f"{quarter} {name}: {results[name].lines} lines accounted for, {seen} in the file")
+                warnings.warn(f"{quarter} {name}: {results[name].lines} lines accounted for, {seen} in the file")
         status = "complete"
         try:
             results[name].check(settings.max_reject_rate)

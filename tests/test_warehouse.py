@@ -24,6 +24,18 @@ def test_configuration_is_sound(spark):
     assert len(s.problems()) == 3 and s.alias_conflicts(spark).count() == 1
 
 
+def test_settings_from_files(tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "aliases.yaml").write_text(
+        "metrics:\n  cash: {datatype: monetary, tags: [Cash]}\n  debt: {datatype: monetary, tags: ['x:Debt']}\n"
+        "derivations:\n  - {metric: cash, formula: '+debt', reason: r}\n")
+    (tmp_path / "quality_rules.yaml").write_text("tolerances: {abs_floor: 5}\n")
+    s = Settings.from_folder(str(tmp_path))
+    assert s.problems() == [] and s.tolerance("abs_floor") == 5.0 and s.derivations[0].terms == [(1, "debt")]
+    assert s.alias_rows()[1][:4] == ("debt", "Debt", "x", 1)
+    assert s.n_quarters == 8 and s.in_scope_forms == Settings().in_scope_forms
+
+
 def submission(t, adsh, **more):
     t.raw("sub", **{**dict(adsh=adsh, cik=1, name="OLD CO", sic=3571, fye="1231", form="10-K", period="20241231",
                            fy=2024, fp="FY", filed="20250215"), **more})
