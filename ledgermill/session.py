@@ -44,10 +44,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach. Taken from the session; a temporary one only where unset."""
-    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    configured = (spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
+                  or context.getCheckpointDir())
     if configured:
         return configured
-    master = spark.sparkContext.master
+    master = context.master
     if not master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share before running on {master}")
     global _local_folder
