@@ -1,20 +1,42 @@
-"""The corpus pipeline: stages that hand on documents, the last one their place in training sequences."""
+"""The corpus pipeline: toxic documents go, near copies go but for one, personal data is redacted, the rest is packed.
+
+Each stage takes (spark, docs, sf_dir), works on all that the one before it kept, and returns documents with all their
+columns; the last returns the pieces of documents with their places in training sequences.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgermill.llm import packing
+from ledgermill.llm import hyper_minhash, packing, personal_data, toxicity
 from ledgermill.llm.common import table, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the grammar scores below the threshold."""
+    return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id. Rows without id stay."""
+    kept = hyper_minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return personal_data.redacted(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequence and place."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("personal_data", redact), ("packing", pack)]
 
-# stages use models, tokenizers and reachability; tests hold them against brute force
+# the stages use models, tokenizers and reachability; tests hold them against brute force
 ORACLE_SQL = None
 
 
