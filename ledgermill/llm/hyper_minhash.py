@@ -26,7 +26,7 @@ MANTISSA = 10      # bits kept below the leading one
 WORDS = 5
 SIMILARITY = (4, 5)
 DEVIATIONS = 6.0   # standard errors of the estimate below the threshold at which a pair is given up
-TILE = 512         # rows of a bucket that meet in one task
+TILE = 2048        # rows of a bucket that one side of a task holds
 PARTNERS = 64      # texts checked against one center in one task
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
