@@ -181,33 +181,36 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, in
     return wanted.groupBy("a", "deal").applyInArrow(work, "a long, b long")
 
 
-def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile: int) -> DataFrame:
+def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile: int, rows: int) -> DataFrame:
     """Pairs (a, b) inside a bucket whose documents are in different components so far and that may link.
 
-    ``bucketed`` has ``band, doc_id, component`` of buckets with several components. A bucket is cut into tiles and each
-    pair of tiles is a task of bounded size; a task joins its findings, so that it proposes each joining once.
+    ``bucketed`` has ``nth, band, doc_id, component`` of buckets with several components. A bucket is cut into tiles and
+    each pair of tiles is a task of bounded size. A pair that shares several bands is proposed in the first one alone.
     """
     sizes = bucketed.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
     tiled = bucketed.join(sizes, "band").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
     met = tiled.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
-        "band", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "t", "doc_id", "component")
+        "nth", "band", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "t", "doc_id", "component")
     side = classes.select("doc_id", "n_shingles", "registers")
 
     def work(table: pa.Table) -> pa.Table:
         ids, comp, t, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "t", "n_shingles"))
         regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(len(ids), -1)
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        nth = table.column("nth")[0].as_py()
         same = table.column("p")[0].as_py() == table.column("q")[0].as_py()
         own = np.flatnonzero(t == table.column("p")[0].as_py())
         other = np.flatnonzero(t == table.column("q")[0].as_py())
         for i in own.tolist():
             rest = other[(comp[other] != comp[i]) & ((ids[other] > ids[i]) | (not same))]
             ok = rest[_may_link(regs[None, i], regs[rest], n[i], n[rest], part)] if len(rest) else rest
+            bands = (regs[None, i] == regs[ok]).reshape(len(ok), regs.shape[1] // rows, rows).all(axis=2)
+            ok = ok[bands.argmax(axis=1) == nth]
             a.append(np.minimum(ids[ok], ids[i]))
             b.append(np.maximum(ids[ok], ids[i]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(work, "a long, b long").distinct()
+    return met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] = SIMILARITY, bands: int = BANDS,
@@ -226,17 +229,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     classes = written(full.groupBy("code").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"), F.first("keys").alias("keys")), "classes")
-    slots = classes.select("doc_id", F.explode("keys").alias("band"))
+    slots = classes.select("doc_id", F.posexplode("keys").alias("nth", "band"))
     least = slots.groupBy("band").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(slots.join(least, "band").select("band", "doc_id", "center"), "shared")
+    shared = written(slots.join(least, "band").select("nth", "band", "doc_id", "center"), "shared")
     stars = shared.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(confirmed(_estimated(stars, classes, part), docs, words, part), "links")
     groups = written(components(links), "groups")
     placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
-        "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
+        "nth", "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
     open_buckets = written(placed.join(mixed.select("band"), "band"), "open")
-    more = _across(open_buckets, classes, part, tile).join(
+    more = _across(open_buckets, classes, part, tile, rows).join(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = written(more.join(tried, ["a", "b"], "left_anti"), "more")
