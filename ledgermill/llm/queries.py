@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgermill.llm import (
     grid_join,
     hyper_minhash,
+    kneser_ney,
     packing,
     personal_data,
     pieces,
@@ -41,6 +42,10 @@ def op6_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.found(table(spark, sf_dir, "documents"))
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.scored(table(spark, sf_dir, "documents"))
+
+
 def op8_hyper_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyper_minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -56,7 +61,7 @@ def op10_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and "_" in name}
 
-# op2 needs crc32, which DuckDB lacks; op3, op5 and op9 need tokenizers, op4 and op6 models, op6 and op8 hashes and
+# op2 needs crc32, which DuckDB lacks; op3, op5 and op9 need tokenizers, op4, op6 and op7 models, op6 and op8 hashes and
 # patterns without a counterpart; op1 and op8 need reachability. Tests hold all of these against brute force.
 ORACLES = {
     "op10_term_at_a_time": """
