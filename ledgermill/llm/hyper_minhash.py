@@ -181,11 +181,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, in
     return wanted.groupBy("a", "deal").applyInArrow(work, "a long, b long")
 
 
-def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile: int, rows: int) -> DataFrame:
+def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile: int, rows: int,
+            nearest: bool) -> DataFrame:
     """Pairs (a, b) inside a bucket whose documents are in different components so far and that may link.
 
     ``bucketed`` has ``nth, band, doc_id, component`` of buckets with several components. A bucket is cut into tiles and
     each pair of tiles is a task of bounded size. A pair that shares several bands is proposed in the first one alone.
+    With ``nearest`` each document of a task proposes only the other that its registers find most alike.
     """
     sizes = bucketed.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
     tiled = bucketed.join(sizes, "band").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
@@ -202,10 +204,13 @@ def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile
         own = np.flatnonzero(t == table.column("p")[0].as_py())
         other = np.flatnonzero(t == table.column("q")[0].as_py())
         for i in own.tolist():
-            rest = other[(comp[other] != comp[i]) & ((ids[other] > ids[i]) | (not same))]
+            rest = other[(comp[other] != comp[i]) & ((ids[other] > ids[i]) | (not same) | nearest)]
             ok = rest[_may_link(regs[None, i], regs[rest], n[i], n[rest], part)] if len(rest) else rest
-            bands = (regs[None, i] == regs[ok]).reshape(len(ok), regs.shape[1] // rows, rows).all(axis=2)
-            ok = ok[bands.argmax(axis=1) == nth]
+            if nearest and len(ok):
+                ok = ok[[np.argmax(similarity(regs[None, i], regs[ok], n[i], n[ok]))]]
+            elif not nearest:
+                bands = (regs[None, i] == regs[ok]).reshape(len(ok), regs.shape[1] // rows, rows).all(axis=2)
+                ok = ok[bands.argmax(axis=1) == nth]
             a.append(np.minimum(ids[ok], ids[i]))
             b.append(np.maximum(ids[ok], ids[i]))
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
@@ -213,14 +218,18 @@ def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile
     return met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(work, "a long, b long")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] = SIMILARITY, bands: int = BANDS,
                     rows: int = ROWS, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per input row.
 
     Documents link when part[1] times the common shingles reach part[0] times all of theirs. Documents with equal sets
     are one class and linked; classes meet in bands. First every class is checked against the least id of each of its
-    buckets, which joins groups of copies in linear work. What is then still apart in a bucket is compared with all
-    other components there, in tiles, whatever the bucket's size. A null or empty text has an empty set and no links;
+    buckets, then against the nearest of another component there, which joins groups of copies in linear work. What is
+    still apart in a bucket is compared with all other components in it, in tiles, whatever the bucket's size. A null or empty text has an empty set and no links;
     rows without id have none either; rows that share an id count as one document of all their classes.
     """
     ship(docs.sparkSession)
@@ -234,18 +243,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     shared = written(slots.join(least, "band").select("nth", "band", "doc_id", "center"), "shared")
     stars = shared.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(confirmed(_estimated(stars, classes, part), docs, words, part), "links")
-    groups = written(components(links), "groups")
-    placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
-        "nth", "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    open_buckets = written(placed.join(mixed.select("band"), "band"), "open")
-    more = _across(open_buckets, classes, part, tile, rows).join(
-        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(more.join(tried, ["a", "b"], "left_anti"), "more")
-    late = written(confirmed(more, docs, words, part), "late")
+    tried = written(_ordered(stars), "tried")
+    for nearest in (True, False):
+        groups = components(links)
+        placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
+            "nth", "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
+        mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+        still_open = written(placed.join(mixed.select("band"), "band"), f"open-{nearest}")
+        more = _across(still_open, classes, part, tile, rows, nearest).distinct().join(tried, ["a", "b"], "left_anti")
+        more = written(more, f"more-{nearest}")
+        late = written(confirmed(more, docs, words, part), f"late-{nearest}")
+        tried, links = tried.unionByName(more), links.unionByName(late)
     twins = full.join(classes.select("code", F.col("doc_id").alias("head")), "code")
-    roots = components(links.select("a", "b").unionByName(late.select("a", "b")))
+    roots = components(links)
     headed = made.join(twins.groupBy("doc_id").agg(F.min("head").alias("head")), "doc_id", "left")
     return (headed.join(roots.toDF("head", "root"), "head", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "head", "doc_id").alias("component_id"))
