@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.functions.sqltext import all_of, case, struct, text, texts
+from ledgermill.functions.sqltext import case, struct, text, texts
 from ledgermill.functions.text import is_amended
 from ledgermill.operators.facts import CONSOLIDATED_STANDARD, with_tag_types
 from ledgermill.operators.restatements import FACT_KEY, restated_facts
@@ -88,10 +88,10 @@ def metric_cell(metric: str, columns: list[str], where: str = "TRUE") -> str:
 def _derived_cell(rule: Derivation) -> str:
     """The cell of a derived metric from the cells of its terms; NULL when a required term is absent."""
     names = [name for _, name in rule.terms]
-    value = " + ".join(
-        f"({sign}) * " + (f"coalesce({name}.value, 0D)" if name in rule.optional else f"{name}.value")
-        for sign, name in rule.terms)
-    usable = all_of([f"{name} IS NOT NULL" for name in names if name not in rule.optional] or ["TRUE"])
+    signed = [f"{sign} * nvl({name}.value, {'0D' if name in rule.optional else 'NULL'})" for sign, name in rule.terms]
+    value = f"aggregate(array({', '.join(signed)}), 0D, (total, term) -> total + term)"
+    gaps = ["FALSE", *[f"{name} IS NULL" for name in names if name not in rule.optional]]
+    usable = f"NOT exists(array({', '.join(gaps)}), gap -> gap)"
     present = f"array_compact(array({', '.join(names)}))"
     latest = (f"array_max(transform(filter({present}, c -> c.source_filed IS NOT NULL), "
               "c -> struct(c.source_filed, c.source_adsh, c.source_form)))")

@@ -117,7 +117,8 @@ def top_restatements(tables: Tables, n: int = 300, at_least: float = 1e6) -> Dat
     order = [c("rel_diff").desc_nulls_last(), c("authoritative_filed").desc_nulls_last(), c("cik"), c("tag"),
              c("period_end"), c("qtrs"), c("uom"), c("adsh")]
     names = tables["dim_company"].select("cik", "name")
-    return (tables["restatements"].where(material).join(names, "cik").orderBy(*order).limit(n)
+    top = tables["restatements"].where(material).orderBy(*order).limit(n)
+    return (top.join(names, "cik").orderBy(*order)
             .select("cik", "name", "tag", "period_end", "qtrs", "uom", c("adsh").alias("earlier_adsh"),
                     c("filed").alias("earlier_filed"), c("value").alias("earlier_value"), "authoritative_adsh",
                     "authoritative_filed", "authoritative_value", "rel_diff"))
@@ -125,9 +126,9 @@ def top_restatements(tables: Tables, n: int = 300, at_least: float = 1e6) -> Dat
 
 def dq_failures(tables: Tables, rule_name: str, n: int = 500) -> DataFrame:
     names = tables["dim_company"].select("cik", "name")
-    return (tables["dq_results"].where(c("rule_name") == rule_name).join(names, "cik", "left")
-            .orderBy(F.abs("diff").desc_nulls_last(), c("cik").asc_nulls_last(), "adsh", "period_end", "qtrs", "tag")
-            .limit(n)
+    order = [F.abs("diff").desc_nulls_last(), c("cik").asc_nulls_last(), "adsh", "period_end", "qtrs", "tag"]
+    top = tables["dq_results"].where(c("rule_name") == rule_name).orderBy(*order).limit(n)
+    return (top.join(names, "cik", "left").orderBy(*order)
             .select("rule_id", "rule_name", "severity", "cik", "name", "adsh", "period_end", "qtrs", "tag", "observed",
                     "expected", "diff", "message"))
 

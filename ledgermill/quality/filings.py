@@ -25,14 +25,15 @@ def amendments(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
 
 
 def duplicate_filings(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
-    """The same form and period filed more than once without an amendment mark. The message lists the filings
-    of the group, so the list is built once per group and joined back."""
+    """The same form and period filed more than once without an amendment mark. The message tells how often and
+    by which filings first and last; the others are failing rows of the same company, form and period."""
     keys = ["cik", "form", "period"]
     originals = tables["dim_filing"].where("in_scope AND NOT is_amendment AND period IS NOT NULL").select(
         *keys, "adsh", "filed")
-    in_order = "array_sort(collect_list(struct(filed IS NULL AS undated, filed, adsh)))"
-    groups = originals.groupBy(*keys).agg(F.expr("count(*) AS k"), F.expr(f"{in_order} AS members"))
-    message = "concat('same form and period filed as: ', array_join(transform(members, m -> m.adsh), ', '))"
+    placed = "struct(filed IS NULL AS undated, filed, adsh)"
+    groups = originals.groupBy(*keys).agg(
+        F.expr("count(*) AS k"), F.expr(f"min({placed}).adsh AS first"), F.expr(f"max({placed}).adsh AS last"))
+    message = "concat('same form and period filed ', k, ' times, first as ', first, ', last as ', last)"
     return originals.join(groups.selectExpr(*keys, "k", f"{message} AS message"), keys).selectExpr(
         f"{pass_unless('k > 1')} AS status", "cik", "adsh", "period AS period_end", "form AS tag", "k AS observed",
         "1 AS expected", "k - 1 AS diff", "message")

@@ -59,11 +59,7 @@ def _padded(df: DataFrame, name: str) -> DataFrame:
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table. One that comes in fewer files than there are cores is spread over the cores first, as a
-    file with a single row group is a single task; tables of many files are left as they are."""
-    table = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _submissions(orders: DataFrame) -> DataFrame:
