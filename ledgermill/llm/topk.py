@@ -47,22 +47,23 @@ def _packed(df: DataFrame, size: int) -> DataFrame:
 
 
 def _accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Scores, candidates by queries. Sums of up to 31 bits are kept in 32-bit arrays, others in 64-bit ones."""
+    """Scores, queries by candidates. Sums of up to 31 bits are kept in 32-bit arrays, others in 64-bit ones.
+
+    A term that few rows have is scattered to its postings alone; one that most rows have is added to all of them, as
+    a weight of 0 changes no score.
+    """
     bound = np.abs(candidates).max(initial=0).astype(float) * np.abs(queries).max(initial=0) * candidates.shape[1]
     kind = np.int32 if bound < 2 ** 31 else np.int64
-    scores = np.zeros((len(candidates), len(queries)), kind)
-    for term in range(candidates.shape[1]):
-        lanes = np.flatnonzero(queries[:, term])
-        postings = np.flatnonzero(candidates[:, term])
-        if not len(lanes) or not len(postings):
-            continue
-        added = candidates[postings, term, None].astype(kind) * queries[None, lanes, term].astype(kind)
-        if len(lanes) == len(queries) and len(postings) == len(candidates):
-            scores += added
-        elif len(lanes) == len(queries):
-            scores[postings] += added
-        else:
-            scores[np.ix_(postings, lanes)] += added
+    weights, terms = queries.astype(kind), np.ascontiguousarray(candidates.T.astype(kind))
+    scores = np.zeros((len(queries), len(candidates)), kind)
+    held = np.empty_like(scores)
+    for term, row in enumerate(terms):
+        postings = np.flatnonzero(row)
+        if 2 * len(postings) > len(row):
+            scores += np.multiply(weights[:, term, None], row[None, :], out=held)
+        elif len(postings):
+            for lane in np.flatnonzero(weights[:, term]):
+                scores[lane, postings] += weights[lane, term] * row[postings]
     return scores
 
 
@@ -116,7 +117,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK
             if q_data is None or data.shape[1] != q_data.shape[1]:
                 continue
             for low in range(0, len(q_ids), LANES):
-                scores = _accumulate(q_data[low:low + LANES], data).T
+                scores = _accumulate(q_data[low:low + LANES], data)
                 for j, own in enumerate(q_ids[low:low + LANES].tolist()):
                     keep = ids != own
                     new = _best(ids[keep], scores[j][keep].astype(np.int64), k)
