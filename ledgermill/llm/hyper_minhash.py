@@ -27,6 +27,8 @@ WORDS = 5
 SIMILARITY = (4, 5)
 DEVIATIONS = 6.0   # standard errors of the estimate below the threshold at which a pair is given up
 TILE = 2048        # rows of a bucket that one side of a task holds
+LOAD = 1 << 20     # shingles of a bucket that one side of a task holds
+SET_BYTES = 1 << 25
 PARTNERS = 64      # texts checked against one center in one task
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -181,56 +183,102 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, in
     return wanted.groupBy("a", "deal").applyInArrow(work, "a long, b long")
 
 
-def _across(bucketed: DataFrame, classes: DataFrame, part: tuple[int, int], tile: int, rows: int,
-            nearest: bool) -> DataFrame:
-    """Pairs (a, b) inside a bucket whose documents are in different components so far and that may link.
+def full_sets(docs: DataFrame, words: int) -> DataFrame:
+    """``doc_id, shingles``: the sorted shingle hashes of each text, 8 bytes each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, held, size = 0, [], 0
+            for row, shingles in enumerate(shingle_sets(batch.column("text"), words), 1):
+                held.append(shingles.astype("<u8").tobytes())
+                size += len(held[-1])
+                if size > SET_BYTES or row == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(first, len(held)), pa.array(held, pa.binary())],
+                        ["doc_id", "shingles"])
+                    first, held, size = row, [], 0
 
-    ``bucketed`` has ``nth, band, doc_id, component`` of buckets with several components. A bucket is cut into tiles and
-    each pair of tiles is a task of bounded size. A pair that shares several bands is proposed in the first one alone.
-    With ``nearest`` each document of a task proposes only the other that its registers find most alike.
+    return docs.mapInArrow(run, "doc_id long, shingles binary")
+
+
+def _candidates(table: pa.Table, part: tuple[int, int], rows: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a task of two tiles: a row, and the rows of other components that may link with it.
+
+    A pair that shares several bands comes up in the first one alone.
     """
-    sizes = bucketed.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    ids, comp, t, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "t", "n_shingles"))
+    regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(len(ids), -1)
+    nth, p, q = (table.column(c)[0].as_py() for c in ("nth", "p", "q"))
+    other = np.flatnonzero(t == q)
+    for i in np.flatnonzero(t == p).tolist():
+        rest = other[(comp[other] != comp[i]) & ((ids[other] > ids[i]) | (p != q))]
+        if len(rest):
+            ok = rest[_may_link(regs[None, i], regs[rest], n[i], n[rest], part)]
+            bands = (regs[None, i] == regs[ok]).reshape(len(ok), regs.shape[1] // rows, rows).all(axis=2)
+            ok = ok[bands.argmax(axis=1) == nth]
+            if len(ok):
+                yield i, ok
+
+
+def _linked(table: pa.Table, part: tuple[int, int], rows: int) -> pa.Table:
+    """The links (a, b) that join components of a task of two tiles, decided on the full sets."""
+    ids, comp = table.column("doc_id").to_numpy(), table.column("component").to_numpy().copy()
+    sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
+    met, places = np.unique(np.concatenate(sets), return_inverse=True)
+    places = np.split(places, np.cumsum([len(x) for x in sets])[:-1])
+    mine, a, b = np.zeros(len(met), bool), [], []
+    for i, ok in _candidates(table, part, rows):
+        mine[places[i]] = True
+        for j in ok.tolist():
+            if comp[i] == comp[j]:
+                continue
+            common = np.count_nonzero(mine[places[j]])
+            if common * part[1] >= (len(sets[i]) + len(sets[j]) - common) * part[0]:
+                a.append(ids[i])
+                b.append(ids[j])
+                comp[comp == comp[j]] = comp[i]
+        mine[places[i]] = False
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _across(bucketed: DataFrame, classes: DataFrame, docs: DataFrame, words: int, part: tuple[int, int], tile: int,
+            load: int, rows: int) -> DataFrame:
+    """Links (a, b) between documents that share a bucket and are in different components so far.
+
+    ``bucketed`` has ``nth, band, doc_id, n_shingles, component`` of buckets with several components. A bucket is cut
+    into tiles by rows and by shingles, and each pair of tiles is a task of bounded size. The registers tell which
+    documents of a task have a partner at all; those alone come back with their full sets, and the pairs are decided
+    where they meet. So no pair leaves a task unless it joins two components there.
+    """
+    sizes = bucketed.groupBy("band").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / tile, F.sum("n_shingles") / load)).alias("tiles"))
     tiled = bucketed.join(sizes, "band").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
     met = tiled.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
         "nth", "band", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "t", "doc_id", "component")
     side = classes.select("doc_id", "n_shingles", "registers")
 
-    def work(table: pa.Table) -> pa.Table:
-        ids, comp, t, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "t", "n_shingles"))
-        regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(len(ids), -1)
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        nth = table.column("nth")[0].as_py()
-        same = table.column("p")[0].as_py() == table.column("q")[0].as_py()
-        own = np.flatnonzero(t == table.column("p")[0].as_py())
-        other = np.flatnonzero(t == table.column("q")[0].as_py())
-        for i in own.tolist():
-            rest = other[(comp[other] != comp[i]) & ((ids[other] > ids[i]) | (not same) | nearest)]
-            ok = rest[_may_link(regs[None, i], regs[rest], n[i], n[rest], part)] if len(rest) else rest
-            if nearest and len(ok):
-                ok = ok[[np.argmax(similarity(regs[None, i], regs[ok], n[i], n[ok]))]]
-            elif not nearest:
-                bands = (regs[None, i] == regs[ok]).reshape(len(ok), regs.shape[1] // rows, rows).all(axis=2)
-                ok = ok[bands.argmax(axis=1) == nth]
-            a.append(np.minimum(ids[ok], ids[i]))
-            b.append(np.maximum(ids[ok], ids[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(work, "a long, b long")
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    def needed(table: pa.Table) -> pa.Table:
+        wanted = np.zeros(table.num_rows, bool)
+        for i, ok in _candidates(table, part, rows):
+            wanted[i] = wanted[ok] = True
+        return table.select(["nth", "band", "p", "q", "t", "doc_id", "component"]).filter(pa.array(wanted))
+
+    chosen = written(met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(
+        needed, "nth int, band long, p long, q long, t long, doc_id long, component long"), "chosen")
+    texts = documents(docs).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    whole = side.join(full_sets(texts, words), "doc_id")
+    return chosen.join(whole, "doc_id").groupBy("band", "p", "q").applyInArrow(
+        lambda table: _linked(table, part, rows), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] = SIMILARITY, bands: int = BANDS,
-                    rows: int = ROWS, tile: int = TILE) -> DataFrame:
+                    rows: int = ROWS, tile: int = TILE, load: int = LOAD) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per input row.
 
     Documents link when part[1] times the common shingles reach part[0] times all of theirs. Documents with equal sets
     are one class and linked; classes meet in bands. First every class is checked against the least id of each of its
-    buckets, then against the nearest of another component there, which joins groups of copies in linear work. What is
-    still apart in a bucket is compared with all other components in it, in tiles, whatever the bucket's size. A null or empty text has an empty set and no links;
-    rows without id have none either; rows that share an id count as one document of all their classes.
+    buckets, which joins groups of copies in linear work. What is still apart in a bucket is compared with all other
+    components in it, in tiles, whatever the bucket's size. A null or empty text has an empty set and no links; rows
+    without id have none either; rows that share an id count as one document of all their classes.
     """
     ship(docs.sparkSession)
     made = written(sketches(docs, words, bands, rows), "sketches")
@@ -238,22 +286,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     classes = written(full.groupBy("code").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"), F.first("keys").alias("keys")), "classes")
-    slots = classes.select("doc_id", F.posexplode("keys").alias("nth", "band"))
+    slots = classes.select("doc_id", "n_shingles", F.posexplode("keys").alias("nth", "band"))
     least = slots.groupBy("band").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(slots.join(least, "band").select("nth", "band", "doc_id", "center"), "shared")
+    shared = written(slots.join(least.drop("n"), "band"), "shared")
     stars = shared.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(confirmed(_estimated(stars, classes, part), docs, words, part), "links")
-    tried = written(_ordered(stars), "tried")
-    for nearest in (True, False):
-        groups = components(links)
-        placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
-            "nth", "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
-        mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-        still_open = written(placed.join(mixed.select("band"), "band"), f"open-{nearest}")
-        more = _across(still_open, classes, part, tile, rows, nearest).distinct().join(tried, ["a", "b"], "left_anti")
-        more = written(more, f"more-{nearest}")
-        late = written(confirmed(more, docs, words, part), f"late-{nearest}")
-        tried, links = tried.unionByName(more), links.unionByName(late)
+    groups = components(links)
+    placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
+        "nth", "band", "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component"))
+    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+    still_open = written(placed.join(mixed.select("band"), "band"), "open")
+    late = written(_across(still_open, classes, docs, words, part, tile, load, rows), "late")
+    links = links.unionByName(late)
     twins = full.join(classes.select("code", F.col("doc_id").alias("head")), "code")
     roots = components(links)
     headed = made.join(twins.groupBy("doc_id").agg(F.min("head").alias("head")), "doc_id", "left")

@@ -214,7 +214,7 @@ def test_near_duplicates(spark, docs, none):
             texts[100 * g + k] = " ".join(copy).title()
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     sets, root = brute_groups(texts, 2, 80)
-    for r in hyper_minhash.near_duplicates(frame, words=2, tile=4).collect():
+    for r in hyper_minhash.near_duplicates(frame, words=2, tile=4, load=150).collect():
         assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), root[r.doc_id])
     out = hyper_minhash.near_duplicates(docs, words=2).collect()
     sets, root = brute_groups(dict(enumerate(TEXTS)), 2, 80)
