@@ -135,9 +135,8 @@ def _may_link(one: np.ndarray, two: np.ndarray, n_one: np.ndarray, n_two: np.nda
             & (similarity(one, two, n_one, n_two) >= share - DEVIATIONS * error))
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, part: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) that may link."""
-    side = classes.select("doc_id", "n_shingles", "registers")
+def _estimated(pairs: DataFrame, side: DataFrame, part: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) that may link; ``side`` has ``doc_id, n_shingles, registers``."""
     both = pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -150,13 +149,12 @@ def _estimated(pairs: DataFrame, classes: DataFrame, part: tuple[int, int]) -> D
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(in_batches(work), "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity, by their texts.
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int, part: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the similarity, by their texts, one per id.
 
     Partners of one text are dealt into groups of bounded size, each with its own copy of that text, so a text with
     very many partners is compared in many tasks and no group grows with the input.
     """
-    texts = documents(docs).dropDuplicates(["doc_id"])
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     dealt = pairs.join(counts, "a").withColumn(
         "deal", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PARTNERS))).drop("n")
@@ -183,7 +181,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, in
     return wanted.groupBy("a", "deal").applyInArrow(work, "a long, b long")
 
 
-def full_sets(docs: DataFrame, words: int) -> DataFrame:
+def full_sets(texts: DataFrame, words: int) -> DataFrame:
     """``doc_id, shingles``: the sorted shingle hashes of each text, 8 bytes each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +195,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
                         ["doc_id", "shingles"])
                     first, held, size = row, [], 0
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    return texts.mapInArrow(run, "doc_id long, shingles binary")
 
 
 def _candidates(table: pa.Table, part: tuple[int, int], rows: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -240,21 +238,20 @@ def _linked(table: pa.Table, part: tuple[int, int], rows: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _across(bucketed: DataFrame, classes: DataFrame, docs: DataFrame, words: int, part: tuple[int, int], tile: int,
+def _across(bucketed: DataFrame, side: DataFrame, texts: DataFrame, words: int, part: tuple[int, int], tile: int,
             load: int, rows: int) -> DataFrame:
     """Links (a, b) between documents that share a bucket and are in different components so far.
 
-    ``bucketed`` has ``nth, band, doc_id, n_shingles, component`` of buckets with several components. A bucket is cut
-    into tiles by rows and by shingles, and each pair of tiles is a task of bounded size. The registers tell which
+    ``bucketed`` has ``nth, band, doc_id, component`` of buckets with several components. A bucket is cut into tiles
+    by rows and by shingles, and each pair of tiles is a task of bounded size. The registers tell which
     documents of a task have a partner at all; those alone come back with their full sets, and the pairs are decided
     where they meet. So no pair leaves a task unless it joins two components there.
     """
-    sizes = bucketed.groupBy("band").agg(F.ceil(F.greatest(
+    sizes = bucketed.join(side.select("doc_id", "n_shingles"), "doc_id").groupBy("band").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / tile, F.sum("n_shingles") / load)).alias("tiles"))
     tiled = bucketed.join(sizes, "band").withColumn("t", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
     met = tiled.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))).select(
         "nth", "band", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"), "t", "doc_id", "component")
-    side = classes.select("doc_id", "n_shingles", "registers")
 
     def needed(table: pa.Table) -> pa.Table:
         wanted = np.zeros(table.num_rows, bool)
@@ -264,8 +261,8 @@ def _across(bucketed: DataFrame, classes: DataFrame, docs: DataFrame, words: int
 
     chosen = written(met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(
         needed, "nth int, band long, p long, q long, t long, doc_id long, component long"), "chosen")
-    texts = documents(docs).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    whole = side.join(full_sets(texts, words), "doc_id")
+    wanted = texts.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    whole = side.join(full_sets(wanted, words), "doc_id")
     return chosen.join(whole, "doc_id").groupBy("band", "p", "q").applyInArrow(
         lambda table: _linked(table, part, rows), "a long, b long")
 
@@ -286,17 +283,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     classes = written(full.groupBy("code").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
         F.first("registers").alias("registers"), F.first("keys").alias("keys")), "classes")
-    slots = classes.select("doc_id", "n_shingles", F.posexplode("keys").alias("nth", "band"))
+    slots = classes.select("doc_id", F.posexplode("keys").alias("nth", "band"))
     least = slots.groupBy("band").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(slots.join(least.drop("n"), "band"), "shared")
+    met = shared.select("doc_id").distinct()  # all that follows needs only what shares a bucket
+    side = written(classes.select("doc_id", "n_shingles", "registers").join(met, "doc_id", "left_semi"), "side")
+    texts = written(documents(docs).join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     stars = shared.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = written(confirmed(_estimated(stars, classes, part), docs, words, part), "links")
+    links = written(confirmed(_estimated(stars, side, part), texts, words, part), "links")
     groups = components(links)
     placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
-        "nth", "band", "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component"))
+        "nth", "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
     still_open = written(placed.join(mixed.select("band"), "band"), "open")
-    late = written(_across(still_open, classes, docs, words, part, tile, load, rows), "late")
+    late = written(_across(still_open, side, texts, words, part, tile, load, rows), "late")
     links = links.unionByName(late)
     twins = full.join(classes.select("code", F.col("doc_id").alias("head")), "code")
     roots = components(links)
