@@ -111,9 +111,11 @@ def _staged_lines(spark: SparkSession, root: str, name: str, rejected: str) -> D
 
 
 def read_staged(spark: SparkSession, root: str, name: str, quarters: Iterable[str] | None = None) -> DataFrame:
-    """Staged rows of complete quarters. The quarter is a partition, so a window of quarters prunes files, and
+    """Staged rows of complete quarters, of ``quarters`` alone if given; one that is not complete gives no rows even
+    when named. The quarter is a partition, so a window of quarters prunes files, and
     files with differing columns are read by name."""
-    chosen = complete_quarters(spark, root) if quarters is None else list(quarters)
+    complete = complete_quarters(spark, root)
+    chosen = complete if quarters is None else sorted(set(quarters) & set(complete))
     rows = _staged_lines(spark, root, name, "false").where(F.col(QUARTER).isin(chosen))
     have = set(rows.columns)
     return rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)

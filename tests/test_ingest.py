@@ -63,6 +63,7 @@ def test_rejects_and_short_lines(spark, tmp_path):
     with pytest.raises(tsv.RejectRateExceeded):
         staging.load_quarter(spark, source, "2024q4", root)
     assert staging.complete_quarters(spark, root) == []
+    assert staging.read_staged(spark, root, "num", ["2024q4"]).count() == 0
     lenient = Settings(max_reject_rate=0.9)
     result = staging.load_quarter(spark, source, "2024q4", root, lenient)
     assert (result["num"].lines, result["num"].parsed, result["num"].rejected) == (6, 4, 2)
