@@ -80,36 +80,49 @@ def registers_of(shingles: np.ndarray, donors: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, code, registers, keys``: per document its set's size and digest, registers and band keys.
+    """``doc_id, n_shingles, code, registers``: per document its set's size and digest, and its registers.
 
     The columns after ``n_shingles`` are null for an empty set.
     """
     donors = _donors(bands * rows)
-    salt = mix(np.arange(bands, dtype=np.uint64) + np.uint64(1 << 20))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, codes, kept, keys = [], [], [], []
+        sizes, codes, kept = [], [], []
         for shingles in shingle_sets(batch.column("text"), words):
             sizes.append(len(shingles))
             if not len(shingles):
                 codes.append(None)
                 kept.append(None)
-                keys.append(None)
                 continue
             codes.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-            registers = registers_of(shingles, donors)
-            kept.append(registers.astype("<u2").tobytes())
-            band = salt.copy()
-            for column in registers.reshape(bands, rows).T.astype(np.uint64):
-                band = mix(band * _SPREAD + column + np.uint64(1))
-            keys.append(band.view(np.int64))
+            kept.append(registers_of(shingles, donors).astype("<u2").tobytes())
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()),
-             pa.array(kept, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "code", "registers", "keys"])
+             pa.array(kept, pa.binary())], ["doc_id", "n_shingles", "code", "registers"])
+
+    return documents(docs).mapInArrow(in_batches(work), "doc_id long, n_shingles long, code binary, registers binary")
+
+
+def band_slots(classes: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``doc_id, nth, band``: a row per document and band, ``band`` being the hash of its registers.
+
+    Hashes are made from the registers wherever they are needed; they are as long and as random, so storing or
+    shuffling both would cost almost double.
+    """
+    salt = mix(np.arange(bands, dtype=np.uint64) + np.uint64(1 << 20))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        registers = np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(-1, bands, rows)
+        keys = np.tile(salt, (batch.num_rows, 1))
+        for k in range(rows):
+            keys = mix(keys * _SPREAD + registers[:, :, k].astype(np.uint64) + np.uint64(1))
+        ends = pa.array(np.arange(0, keys.size + 1, bands), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(keys.ravel().view(np.int64)))],
+            ["doc_id", "keys"])
 
-    return documents(docs).mapInArrow(
-        in_batches(work), "doc_id long, n_shingles long, code binary, registers binary, keys array<long>")
+    made = classes.select("doc_id", "registers").mapInArrow(in_batches(work), "doc_id long, keys array<long>")
+    return made.select("doc_id", F.posexplode("keys").alias("nth", "band"))
 
 
 def similarity(one: np.ndarray, two: np.ndarray, n_one: np.ndarray, n_two: np.ndarray) -> np.ndarray:
@@ -282,8 +295,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     full = made.where("code IS NOT NULL AND doc_id IS NOT NULL")
     classes = written(full.groupBy("code").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("registers").alias("registers"), F.first("keys").alias("keys")), "classes")
-    slots = classes.select("doc_id", F.posexplode("keys").alias("nth", "band"))
+        F.first("registers").alias("registers")), "classes")
+    slots = band_slots(classes, bands, rows)
     least = slots.groupBy("band").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(slots.join(least.drop("n"), "band"), "shared")
     met = shared.select("doc_id").distinct()  # all that follows needs only what shares a bucket
