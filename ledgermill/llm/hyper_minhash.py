@@ -162,7 +162,12 @@ def _estimated(pairs: DataFrame, side: DataFrame, part: tuple[int, int]) -> Data
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(in_batches(work), "a long, b long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, part: tuple[int, int] = SIMILARITY) -> DataFrame:
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text``, one row for each of ``ids``; only these rows are shuffled where the ids fit a broadcast."""
+    return documents(docs).join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, int] = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the similarity, by their texts, one per id.
 
     Partners of one text are dealt into groups of bounded size, each with its own copy of that text, so a text with
@@ -174,7 +179,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, part: tuple[int, i
     dealt = written(dealt, "dealt")
     centers = dealt.select("a", "deal").distinct().select("a", "deal", F.col("a").alias("doc_id"), F.lit(0).alias("kind"))
     partners = dealt.select("a", "deal", F.col("b").alias("doc_id"), F.lit(1).alias("kind"))
-    wanted = centers.unionByName(partners).join(texts, "doc_id").select("a", "deal", "doc_id", "kind", "text")
+    members = centers.unionByName(partners)
+    wanted = members.join(_texts_of(docs, members.select("doc_id")), "doc_id").select(
+        "a", "deal", "doc_id", "kind", "text")
 
     def work(table: pa.Table) -> pa.Table:
         table = table.sort_by("kind")
@@ -251,7 +258,7 @@ def _linked(table: pa.Table, part: tuple[int, int], rows: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _across(bucketed: DataFrame, side: DataFrame, texts: DataFrame, words: int, part: tuple[int, int], tile: int,
+def _across(bucketed: DataFrame, side: DataFrame, docs: DataFrame, words: int, part: tuple[int, int], tile: int,
             load: int, rows: int) -> DataFrame:
     """Links (a, b) between documents that share a bucket and are in different components so far.
 
@@ -274,8 +281,7 @@ def _across(bucketed: DataFrame, side: DataFrame, texts: DataFrame, words: int,
 
     chosen = written(met.join(side, "doc_id").groupBy("band", "p", "q").applyInArrow(
         needed, "nth int, band long, p long, q long, t long, doc_id long, component long"), "chosen")
-    wanted = texts.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
-    whole = side.join(full_sets(wanted, words), "doc_id")
+    whole = side.join(full_sets(_texts_of(docs, chosen.select("doc_id")), words), "doc_id")
     return chosen.join(whole, "doc_id").groupBy("band", "p", "q").applyInArrow(
         lambda table: _linked(table, part, rows), "a long, b long")
 
@@ -301,15 +307,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     shared = written(slots.join(least.drop("n"), "band"), "shared")
     met = shared.select("doc_id").distinct()  # all that follows needs only what shares a bucket
     side = written(classes.select("doc_id", "n_shingles", "registers").join(met, "doc_id", "left_semi"), "side")
-    texts = written(documents(docs).join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     stars = shared.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = written(confirmed(_estimated(stars, side, part), texts, words, part), "links")
+    links = written(confirmed(_estimated(stars, side, part), docs, words, part), "links")
     groups = components(links)
     placed = shared.join(groups.toDF("doc_id", "root"), "doc_id", "left").select(
         "nth", "band", "doc_id", F.coalesce("root", "doc_id").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
     still_open = written(placed.join(mixed.select("band"), "band"), "open")
-    late = written(_across(still_open, side, texts, words, part, tile, load, rows), "late")
+    late = written(_across(still_open, side, docs, words, part, tile, load, rows), "late")
     links = links.unionByName(late)
     twins = full.join(classes.select("code", F.col("doc_id").alias("head")), "code")
     roots = components(links)
