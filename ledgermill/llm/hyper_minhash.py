@@ -163,8 +163,12 @@ def _estimated(pairs: DataFrame, side: DataFrame, part: tuple[int, int]) -> Data
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id, text``, one row for each of ``ids``; only these rows are shuffled where the ids fit a broadcast."""
-    return documents(docs).join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """``doc_id, text``, one row for each of ``ids``.
+
+    The ids are written first, so that the plan is made on their true size: where Spark's limit lets it broadcast them,
+    no text of another document is shuffled.
+    """
+    return documents(docs).join(written(ids.distinct(), "ids"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, part: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -305,7 +309,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] =
     slots = band_slots(classes, bands, rows)
     least = slots.groupBy("band").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(slots.join(least.drop("n"), "band"), "shared")
-    met = shared.select("doc_id").distinct()  # all that follows needs only what shares a bucket
+    met = written(shared.select("doc_id").distinct(), "met")  # all that follows needs only what shares a bucket
     side = written(classes.select("doc_id", "n_shingles", "registers").join(met, "doc_id", "left_semi"), "side")
     stars = shared.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(confirmed(_estimated(stars, side, part), docs, words, part), "links")
