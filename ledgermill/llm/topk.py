@@ -21,6 +21,8 @@ SCALE = 64
 BLOCK = 4096     # candidates whose scores one array holds
 QUERIES = 1024   # queries that meet a candidate block in one task
 LANES = 64       # queries accumulated side by side
+STRIPES = 8      # tasks that one query block is dealt to, at least
+STRIPE_BYTES = 32 << 20  # vectors of candidates that meet a query block in one task, on average
 _PACKED = "block long, n long, ids binary, data binary"
 
 
@@ -83,15 +85,18 @@ def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, query_block: int = QUERIES,
-          stripes: int = 8) -> DataFrame:
+          stripes: int = STRIPES, stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` its k best other rows of ``vectors``.
 
     Both have ``vec_id`` and ``v`` in whole numbers. A query does not meet the rows of its own id, and vectors of
-    another width have no score with it. Query blocks meet candidate blocks in tasks of one query block and one
-    stripe of candidate blocks, so a task holds one pair of blocks and k results per query; the stripes' results are
-    merged per query. Repeated ids give one row each.
+    another width have no score with it. Query blocks meet candidate blocks in groups of one query block and one
+    stripe of candidate blocks. A group is held by one task; ``stripes`` is their least number, and it grows with the
+    candidates, so that a stripe has about ``stripe_bytes`` of vectors (one block at least) whatever the table's size.
+    The stripes' results, k per query, are merged per query. Repeated ids give one row each.
     """
     rows = written(_packed(vectors, block), "candidates")
+    held = rows.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
+    stripes = max(stripes, -(-held // stripe_bytes))
     asked = written(_packed(queries, query_block), "queries")
     # blocks of queries, numbered from 0: their ids alone, no vectors
     numbered = written(asked.select("block", (F.row_number().over(Window.orderBy("block")) - 1).alias("q")), "numbers")
