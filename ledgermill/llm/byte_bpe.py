@@ -2,11 +2,15 @@
 
 A pretoken of this family never reaches over the start of a run of white space, nor over a space followed by other
 text, so a text can be cut there and each distinct chunk encoded once. Texts with white space other than blank, tab
-and line ends are encoded in one piece.
+and line ends are encoded in one piece. Added tokens of the vocabulary are taken out of the text first; each occurrence
+is a chunk with one id, and what stands between two of them is encoded as a text of its own.
 """
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +24,7 @@ _WS[[32, 9, 10, 13]] = True
 _ODD = np.zeros(256, bool)
 _ODD[[11, 12, 28, 29, 30, 31]] = True
 _tables: dict[str, ChunkTable] = {}
+_added: dict[str, dict[str, int]] = {}
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -27,6 +32,36 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens and their ids, as the JSON file beside the ranks declares them; none without such a file."""
+    if path not in _added:
+        beside, tokens = os.path.splitext(path)[0] + ".json", []
+        if os.path.exists(beside):
+            with open(beside, encoding="utf-8") as file:
+                tokens = json.load(file).get("added_tokens") or []
+        for token in tokens:
+            if token.get("lstrip") or token.get("rstrip") or token.get("single_word"):
+                raise ValueError(f"added token {token['content']!r} takes its surroundings into account")
+        _added[path] = {t["content"]: t["id"] for t in tokens}
+    return _added[path]
+
+
+def added_spans(data: np.ndarray, at: np.ndarray, added: dict[str, int]) -> tuple[list[int], list[int]]:
+    """Starts and ends of added tokens in a slice of texts that begin at ``at``: leftmost, longest, inside one text."""
+    starts, ends = [], []
+    if added:
+        found = re.compile(b"|".join(re.escape(x.encode()) for x in sorted(added, key=len, reverse=True)))
+        raw = data.tobytes()
+        m = found.search(raw)
+        while m:
+            whole = m.end() <= at[np.searchsorted(at, m.start(), side="right")]
+            if whole:
+                starts.append(m.start())
+                ends.append(m.end())
+            m = found.search(raw, m.end() if whole else m.start() + 1)
+    return starts, ends
+
+
 def chunk_table(path: str) -> ChunkTable:
     """One table for each worker process and vocabulary."""
     if path not in _tables:
@@ -36,7 +71,9 @@ def chunk_table(path: str) -> ChunkTable:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
         encoding = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens={})
-        _tables[path] = ChunkTable(lambda texts: [encoding.encode_ordinary(x) for x in texts])
+        added = added_tokens(path)
+        _tables[path] = ChunkTable(lambda texts: [[added[x]] if x in added else encoding.encode_ordinary(x)
+                                                  for x in texts])
     return _tables[path]
 
 
@@ -55,9 +92,12 @@ def _odd_white_space(data: np.ndarray) -> np.ndarray:
     return odd
 
 
-def chunk_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Starts of chunks in a slice of texts that begin at ``at``."""
+def chunk_starts(data: np.ndarray, at: np.ndarray, added: dict[str, int] | None = None) -> np.ndarray:
+    """Starts of chunks in a slice of texts that begin at ``at``; each of the tokens ``added`` is one chunk."""
     n = len(data)
+    from_, to = added_spans(data, at, added or {})
+    if from_:
+        at = np.unique(np.concatenate([at, from_, to]))
     first = np.zeros(n + 1, bool)
     first[at] = True
     ws = _WS[data]
@@ -70,6 +110,8 @@ def chunk_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     odd = np.flatnonzero(_odd_white_space(data))
     for row in np.unique(np.searchsorted(at, odd, side="right") - 1).tolist():
         start[at[row] + 1:at[row + 1]] = False
+    for a, b in zip(from_, to, strict=True):
+        start[a + 1:b] = False
     return np.flatnonzero(start)
 
 
@@ -77,7 +119,7 @@ def encoded(column: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray,
     """For runs of rows: first row, end row, where each row's chunks begin, the table, the entry of each chunk."""
     chunks = chunk_table(path)
     for low, high, data, at in slices(column):
-        starts = chunk_starts(data, at)
+        starts = chunk_starts(data, at, added_tokens(path))
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         yield low, high, np.searchsorted(starts, at), chunks, chunks.positions(data, starts, ends)
 

@@ -1,8 +1,11 @@
 """Operators on inputs where less than the whole job used to be done."""
+import zlib
+
 import numpy as np
 from pyspark.sql.group import GroupedData
 
-from ledgermill.llm import topk
+from ledgermill.llm import packing, token_counts, topk
+from ledgermill.llm.byte_bpe import vocabulary_path
 
 
 def test_top_k_groups_have_a_bound(spark, monkeypatch):
@@ -26,3 +29,20 @@ def test_top_k_groups_have_a_bound(spark, monkeypatch):
     for q in range(40):
         want = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != q)[:3]
         assert [(-r.score, r.vec_id) for r in sorted((r for r in out if r.query_id == q), key=lambda r: r["rank"])] == want
+
+
+def test_added_tokens_have_one_id(spark):
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, end * 3, f"  x  {end}  y \n{end}\n", f"it{end}'s <|endof", f"text|> {end[:-1]} <{end}>",
+             f"odd\x0b  space {end}  \x0b z", f"é {end}é", f"{end} word " * 700, "without"]
+    assert model.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    ids = [model.encode(t, add_special_tokens=False).ids for t in texts]
+    out = packing.pieces(docs, with_ids=True).collect()
+    for i, want in enumerate(ids):
+        parts = sorted((r for r in out if r.doc_id == i), key=lambda r: r.start)
+        assert sum((r.ids for r in parts), []) == [*want, packing.END_ID]
+        assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids) for r in parts)
+    assert {r.doc_id: r.length for r in token_counts.document_lengths(docs).collect()} == dict(enumerate(map(len, ids)))
