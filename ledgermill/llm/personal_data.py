@@ -2,8 +2,8 @@
 
 Generators propose spans with high recall, overlapping ones too: digit runs in any grouping, dotted numbers, addresses
 with "at" and "dot" written out. Boosted trees judge a candidate by its format and its surroundings; they learn from the
-base matches of a bounded sample of documents, rewritten in other formats, against damaged ones and candidates that the
-base patterns refuse. A threshold for each kind is set where held-out examples reach the wanted precision. Spans of the
+base matches of a bounded sample of documents, drawn for each kind from all that have it, rewritten in other formats,
+against damaged ones and candidates that the base patterns refuse. A threshold for each kind is set where held-out examples reach the wanted precision. Spans of the
 base patterns always stay.
 """
 from __future__ import annotations
@@ -16,14 +16,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm.boosting import Boosted, boost
 from ledgermill.llm.common import documents, in_batches, ship
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCUMENTS = 4_000   # documents that examples are taken from, on average
+SAMPLE_DOCUMENTS = 4_000   # documents of any sort that examples are taken from, on average
+KIND_DOCUMENTS = 500       # documents with a base match of a kind that examples are taken from besides, on average
 EXAMPLES = 20_000          # examples that the trees are fitted on, at most
 PRECISION = 0.98           # that added spans of a kind must reach on held-out examples
 LEAST_PROBABILITY = 0.9
@@ -144,22 +145,45 @@ class Model:
     thresholds: dict[int, float] = field(default_factory=dict)
 
 
-def examples(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, limit: int = EXAMPLES) -> DataFrame:
-    """``key, y, x``: examples from documents with a digit or "@", drawn by hash of id and text."""
+def documents_of_kinds(rows: DataFrame) -> list[int]:
+    """For each kind, how many of all documents have a base match of it."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kinds = [{k for _, k, _ in base_spans(text)} for text in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_pydict({name: pa.array([sum(k in found for found in kinds)], pa.int64())
+                                           for k, name in enumerate(KINDS)})
+
+    counted = rows.where(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(
+        in_batches(work), ", ".join(f"{name} long" for name in KINDS))
+    return [n or 0 for n in counted.agg(*[F.sum(name) for name in KINDS]).first()]
+
+
+def examples(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, limit: int = EXAMPLES,
+             of_kind: int = KIND_DOCUMENTS) -> DataFrame:
+    """``key, y, x``: examples from documents with a digit or "@", drawn by hash of id and text.
+
+    About ``sample`` of all documents are drawn, and of those with a base match of a kind about ``of_kind``, so each
+    kind has examples however rare it is. Beyond ``limit`` the kinds with most examples give some up first.
+    """
     rows = documents(docs)
-    share = min(1.0, sample / max(1, rows.count()))
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    top = 1 << 30
+    below = int(min(1.0, sample / max(1, rows.count())) * top)
+    # all that is drawn for a kind: nothing more if the sample has every document
+    below_kind = [int(min(1.0, of_kind / max(1, n)) * top) for n in documents_of_kinds(rows)] if below < top else [0]
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(top))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, labels, rows_ = [], [], []
+        keys, labels, kinds, rows_ = [], [], [], []
 
         def add(y: int, kind: int, span: str, before: str, after: str) -> None:
+            kinds.append(kind)
             keys.append(zlib.crc32(f"{kind}{span}{before}".encode()))
             labels.append(y)
             rows_.append(features(kind, span, before, after))
 
-        for text in batch.column("text").to_pylist():
+        for text, drawn in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist(), strict=True):
             known = base_spans(text)
+            if drawn >= below and not any(drawn < below_kind[k] for _, k, _ in known):
+                continue
             for a, kind, b in known:
                 around = text[max(0, a - _AROUND):a], text[b:b + _AROUND]
                 add(1, kind, text[a:b], *around)
@@ -169,17 +193,21 @@ def examples(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, limit: int = EXAMP
                 if not any(a < y and x < b for x, _, y in known):
                     add(0, kind, text[a:b], text[max(0, a - _AROUND):a], text[b:b + _AROUND])
         return pa.RecordBatch.from_pydict({
-            "key": pa.array(keys, pa.int64()), "y": pa.array(labels, pa.int32()),
+            "key": pa.array(keys, pa.int64()), "y": pa.array(labels, pa.int32()), "kind": pa.array(kinds, pa.int32()),
             "x": pa.array(rows_, pa.list_(pa.float64()))})
 
-    return (rows.where(drawn & F.col("text").rlike("[0-9@]")).mapInArrow(
-        in_batches(work), "key long, y int, x array<double>").orderBy("key", "y", "x").limit(limit))
+    made = rows.withColumn("draw", draw).where(
+        (F.col("draw") < max(below, *below_kind)) & F.col("text").rlike("[0-9@]")).mapInArrow(
+            in_batches(work), "key long, y int, kind int, x array<double>")
+    nth = F.row_number().over(Window.partitionBy("kind").orderBy("key", "y", "x"))
+    return (made.withColumn("nth", nth).where(F.col("nth") <= limit).orderBy("nth", "kind").limit(limit)
+            .select("key", "y", "x").orderBy("key", "y", "x"))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, limit: int = EXAMPLES) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, limit: int = EXAMPLES, of_kind: int = KIND_DOCUMENTS) -> Model:
     """Trees and thresholds from a bounded sample; without examples of both kinds no span is ever added."""
     ship(docs.sparkSession)
-    rows = examples(docs, sample, limit).collect()
+    rows = examples(docs, sample, limit, of_kind).collect()
     if len({r["y"] for r in rows}) < 2:
         return Model()
     x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)

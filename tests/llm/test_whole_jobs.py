@@ -1,10 +1,11 @@
 """Operators on inputs where less than the whole job used to be done."""
+import random
 import zlib
 
 import numpy as np
 from pyspark.sql.group import GroupedData
 
-from ledgermill.llm import packing, token_counts, topk
+from ledgermill.llm import packing, personal_data, token_counts, topk
 from ledgermill.llm.byte_bpe import vocabulary_path
 
 
@@ -46,3 +47,15 @@ def test_added_tokens_have_one_id(spark):
         assert sum((r.ids for r in parts), []) == [*want, packing.END_ID]
         assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and r.length == len(r.ids) for r in parts)
     assert {r.doc_id: r.length for r in token_counts.document_lengths(docs).collect()} == dict(enumerate(map(len, ids)))
+
+
+def test_rare_kinds_have_examples_in_a_large_table(spark):
+    rng = random.Random(11)
+    lines = [f"word {rng.randrange(99)} mail a{i}.b@mail{i % 9}.example.com now" for i in range(3000)]
+    for i in range(0, 3000, 50):
+        lines[i] = f"host {rng.randrange(100, 256)}.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(256)} is up"
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    for limit in (personal_data.EXAMPLES, 400):
+        rows = personal_data.examples(docs, sample=100, limit=limit).collect()
+        assert len(rows) <= limit and sum(r.x[1] == 1 and r.y == 1 for r in rows) >= 100
+    assert 1 in personal_data.fit(docs, sample=100).thresholds
