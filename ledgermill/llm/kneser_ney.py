@@ -24,7 +24,6 @@ from ledgermill.llm.spans import slices, span_hashes, word_spans
 from ledgermill.session import fresh_path
 
 PART_BYTES = 24_000_000   # bytes of text for which one owner is added
-MOST_PARTS = 4096         # owners at most
 FLUSH = 4_000_000         # n-grams that a task gathers before it sends them
 END = np.uint64(0xE4D0_0F_7E_87)  # the end token; a word's hash equals it with a chance of 2**-64
 _SEND = "part int, blob binary"
@@ -222,13 +221,14 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
 def train(docs: DataFrame, parts: int | None = None) -> Model:
     """A model of the texts of ``docs`` (``text``). Without documents it knows no word and gives every token 1.
 
-    The driver receives sizes of parts, counts of counts, and the statistics of at most four first words per part.
+    Owners grow with the text. The driver receives sizes of parts, counts of counts, and one row of statistics for each
+    very frequent first word, of which there are four per part at most; owners' shares are added up in Spark.
     """
     spark = docs.sparkSession
     folder = local_folder(spark)
     if parts is None:
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-        parts = min(MOST_PARTS, max(1, -(-size // PART_BYTES)))
+        parts = max(1, -(-size // PART_BYTES))
     made = Model(folder, parts)
 
     def all_tokens(column: pa.Array) -> Iterator[np.ndarray]:
@@ -280,22 +280,24 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
             _save(folder, f"context{k}-{part}", dense[k].astype(np.min_scalar_type(int(dense[k].max(initial=0)))))
         two, n = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
         to = np.searchsorted(bases, two.astype(np.int64), side="right") - 1
-        sent = [(-1, -1, p, b) for p, b in _send(to, two, n)]
-        sent += [(0, int(c), -1, _pack(s.astype(np.uint64))) for c, s in zip(contexts[spread], stats.T[spread], strict=True)]
-        sent.append((1, -1, -1, _pack(np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [len(keys)], np.uint64))))
+        sent = [(-1, -1, p, b, [0] * 5) for p, b in _send(to, two, n)]
+        sent += [(0, int(c), -1, None, [*s.tolist(), 0]) for c, s in zip(contexts[spread], stats.T[spread], strict=True)]
+        sent.append((1, -1, -1, None, [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [len(keys)]))
         return pa.table({"kind": pa.array([s[0] for s in sent], pa.int32()), "context": pa.array([s[1] for s in sent], pa.int64()),
-                         "part": pa.array([s[2] for s in sent], pa.int32()), "blob": pa.array([s[3] for s in sent], pa.binary())})
+                         "part": pa.array([s[2] for s in sent], pa.int32()), "blob": pa.array([s[3] for s in sent], pa.binary())}
+                        | {f"s{k}": pa.array([s[4][k] for s in sent], pa.int64()) for k in range(5)})
 
     counted = written(docs.select("text").mapInArrow(_counting(all_bigrams, owner), _SEND).groupBy("part").applyInArrow(
-        store_bigrams, "kind int, context long, part int, blob binary"), "bigrams")
+        store_bigrams, "kind int, context long, part int, blob binary, s0 long, s1 long, s2 long, s3 long, s4 long"), "bigrams")
     hot_stats = {c: np.zeros(4, np.int64) for c in (*hot, begin)}
     totals = np.zeros(5, np.int64)
-    for r in counted.where("kind >= 0").select("kind", "context", "blob").collect():
-        numbers = _unpack(r["blob"])[0].astype(np.int64)
+    added = counted.where("kind >= 0").groupBy("kind", "context").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(5)])
+    for r in added.collect():
+        numbers = np.array([r[f"s{k}"] for k in range(5)], np.int64)
         if r["kind"]:
-            totals += numbers
+            totals = numbers
         else:
-            hot_stats[r["context"]] += numbers
+            hot_stats[r["context"]] = numbers[:4]
 
     def store_predecessors(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 from pyspark.sql.group import GroupedData
 
-from ledgermill.llm import packing, personal_data, token_counts, topk
+from ledgermill.llm import kneser_ney, packing, personal_data, token_counts, topk
 from ledgermill.llm.byte_bpe import vocabulary_path
 
 
@@ -59,3 +59,23 @@ def test_rare_kinds_have_examples_in_a_large_table(spark):
         rows = personal_data.examples(docs, sample=100, limit=limit).collect()
         assert len(rows) <= limit and sum(r.x[1] == 1 and r.y == 1 for r in rows) >= 100
     assert 1 in personal_data.fit(docs, sample=100).thresholds
+
+
+def test_driver_gets_one_row_per_frequent_word(spark, monkeypatch):
+    rng = random.Random(4)
+    lines = [" ".join(rng.choices([f"w{i}" for i in range(25)], [9, 9, *[1] * 23], k=rng.randrange(1, 12))) for _ in range(200)]
+    docs = spark.createDataFrame([(x,) for x in lines], "text string")
+    plain, met = type(docs).collect, []
+
+    def watched(self):
+        rows = plain(self)
+        met.extend(r["context"] for r in rows if "context" in r.__fields__ and r["context"] >= 0)
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", watched)
+    model = kneser_ney.train(docs, parts=4)
+    assert len(met) == len(set(met)) > 1 and set(met) <= set(model.hot)
+    pairs = [(a, b) for x in lines for a, b in zip([None, *x.split()], [*x.split(), None], strict=True)]
+    starts = {b for a, b in pairs if a is None}
+    begin = model.hot_stats[model.hot.index(model.size)]
+    assert begin[0] == len(lines) and sum(begin[1:]) == len(starts) and model.bigrams == len(set(pairs))
