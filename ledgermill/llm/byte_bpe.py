@@ -1,8 +1,8 @@
 """Byte-level BPE by distinct chunks.
 
 A pretoken of this family never reaches over the start of a run of white space, nor over a space followed by other
-text, so a text can be cut there and each distinct chunk encoded once. Texts with white space other than blank, tab
-and line ends are encoded in one piece. Added tokens of the vocabulary are taken out of the text first; each occurrence
+text, so a text can be cut there and each distinct chunk encoded once. A run of white space that holds more than blanks,
+tabs and line ends stays in one chunk with the text behind it. Added tokens of the vocabulary are taken out of the text first; each occurrence
 is a chunk with one id, and what stands between two of them is encoded as a text of its own.
 """
 from __future__ import annotations
@@ -23,6 +23,8 @@ _WS = np.zeros(256, bool)
 _WS[[32, 9, 10, 13]] = True
 _ODD = np.zeros(256, bool)
 _ODD[[11, 12, 28, 29, 30, 31]] = True
+_SEPARATOR = np.zeros(256, bool)
+_SEPARATOR[28:32] = True  # white space to some libraries only, so no cut may depend on it
 _tables: dict[str, ChunkTable] = {}
 _added: dict[str, dict[str, int]] = {}
 
@@ -78,17 +80,20 @@ def chunk_table(path: str) -> ChunkTable:
 
 
 def _odd_white_space(data: np.ndarray) -> np.ndarray:
-    """Where white space other than blank, tab and line ends stands."""
+    """The bytes of white space other than blank, tab and line ends."""
     odd = _ODD[data]
     high = np.flatnonzero(data >= 0xC2)
     if len(high):
         one, two = (np.append(data[k:], np.zeros(k, np.uint8))[high] for k in (1, 2))
         lead = data[high]
-        odd[high] |= ((lead == 0xC2) & ((one == 0x85) | (one == 0xA0))
-                      | (lead == 0xE1) & (one == 0x9A) & (two == 0x80)
-                      | (lead == 0xE2) & (one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF))
-                      | (lead == 0xE2) & (one == 0x81) & (two == 0x9F)
-                      | (lead == 0xE3) & (one == 0x80) & (two == 0x80))
+        pair = (lead == 0xC2) & ((one == 0x85) | (one == 0xA0))
+        triple = ((lead == 0xE1) & (one == 0x9A) & (two == 0x80)
+                  | (lead == 0xE2) & (one == 0x80) & (((two >= 0x80) & (two <= 0x8A)) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF))
+                  | (lead == 0xE2) & (one == 0x81) & (two == 0x9F)
+                  | (lead == 0xE3) & (one == 0x80) & (two == 0x80))
+        odd[high] |= pair | triple
+        odd[high[pair | triple] + 1] = True
+        odd[high[triple] + 2] = True
     return odd
 
 
@@ -107,9 +112,19 @@ def chunk_starts(data: np.ndarray, at: np.ndarray, added: dict[str, int] | None
     blank_before = np.zeros(n, bool)
     blank_before[1:] = data[:-1] == 32
     start = first[:-1] | ws & ~before | ~ws & before & ~blank_before | ws & ~after
-    odd = np.flatnonzero(_odd_white_space(data))
-    for row in np.unique(np.searchsorted(at, odd, side="right") - 1).tolist():
-        start[at[row] + 1:at[row + 1]] = False
+    odd = _odd_white_space(data)
+    if odd.any():
+        blank = ws | odd
+        opens = blank & first[:-1]
+        opens[1:] |= blank[1:] & ~blank[:-1]
+        run = np.cumsum(opens)
+        mixed = np.zeros(int(run[-1]) + 1, bool)
+        mixed[run[odd]] = True
+        inside = blank & mixed[run]
+        start[inside] = (opens & (first[:-1] | ~_SEPARATOR[data]))[inside]
+        behind = np.zeros(n, bool)
+        behind[1:] = inside[:-1] & ~blank[1:] & ~first[1:-1]
+        start[behind] = False
     for a, b in zip(from_, to, strict=True):
         start[a + 1:b] = False
     return np.flatnonzero(start)

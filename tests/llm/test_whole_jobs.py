@@ -1,11 +1,13 @@
 """Operators on inputs where less than the whole job used to be done."""
+import hashlib
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql.group import GroupedData
 
-from ledgermill.llm import kneser_ney, packing, personal_data, token_counts, topk
+from ledgermill.llm import byte_bpe, kneser_ney, packing, personal_data, pieces, spans, token_counts, topk
 from ledgermill.llm.byte_bpe import vocabulary_path
 
 
@@ -79,3 +81,91 @@ def test_driver_gets_one_row_per_frequent_word(spark, monkeypatch):
     starts = {b for a, b in pairs if a is None}
     begin = model.hot_stats[model.hot.index(model.size)]
     assert begin[0] == len(lines) and sum(begin[1:]) == len(starts) and model.bigrams == len(set(pairs))
+
+
+def thue_morse(n, a, b):
+    """Words that polynomial hashes modulo powers of two cannot tell from their complements."""
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word
+
+
+ODD = ["\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2000", "\u2009", "\u200a", "\u2028", "\u202f", "\u205f", "\u3000",
+       "\u200b", "\ufeff", " ", " ", " ", "\n", "\r\n", "\t", "a", "bc", "É", "1", "!", "'s", "。", "<|endoftext|>"]
+
+
+def byte_ids(texts):
+    out = []
+    for _, _, first, chunks, entries in byte_bpe.encoded(pa.array(texts, pa.string()), vocabulary_path()):
+        ids, at = chunks.ids(entries).tolist(), 0
+        for n in byte_bpe.totals(chunks.counts(entries), first).tolist():
+            out.append(ids[at:at + n])
+            at += n
+    return out
+
+
+def test_ids_of_constructed_words_and_odd_white_space(monkeypatch):
+    import sentencepiece
+    from tokenizers import Tokenizer
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(ODD) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    texts += [x for n in (64, 512, 1024, 2048, 4096) for x in (thue_morse(n, "a", "b"), thue_morse(n, "b", "a"))]
+    texts += ["plain words\u00a0with one odd blank " * 30_000]
+    model = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+    want = [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
+    assert byte_ids(texts) == want
+    # hashes that hardly tell chunks apart must not matter, nor a table that is emptied all the time
+    monkeypatch.setattr(spans, "span_hashes", lambda data, starts, ends, lower=False: ((ends - starts) % 3).astype(np.uint64))
+    monkeypatch.setattr(byte_bpe, "_tables", {})
+    byte_bpe.chunk_table(vocabulary_path()).limit = 3000
+    assert byte_ids(texts[:400] + texts[-11:-1]) == want[:400] + want[-11:-1]
+    chunks = pieces.PieceChunks(vocabulary_path("piece_bpe_32k.model"))
+    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path("piece_bpe_32k.model"))
+    words = [b" " + x.encode() for x in [*texts[-11:-1], "one", "two", "six"]]
+    data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words])
+    entries = chunks.positions(data, ends - np.array([len(w) for w in words]), ends)
+    assert chunks.ids(entries).tolist() == [i for w in words for i in library.encode(w[1:].decode())]
+
+
+def test_one_odd_blank_does_not_fill_the_table():
+    texts = [f"word{i % 50} here\u00a0and there " * 20 + f"end {i}" for i in range(2000)]
+    byte_bpe._tables.clear()
+    byte_ids(texts)
+    table = byte_bpe.chunk_table(vocabulary_path())
+    assert table.n.size < 3000 and table._bytes() < 500_000
+
+
+def test_hashes_tell_constructed_spans_apart():
+    words = [x.encode() for n in (8, 64, 256, 512, 1024, 4096) for x in (thue_morse(n, "a", "b"), thue_morse(n, "b", "a"))]
+    words += [b"a" * n for n in range(1, 40)] + [b"\x00" * n for n in range(1, 20)] + [b"x" * 513, b"x" * 512]
+    data, n = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+    ends = np.cumsum(n)
+    hashes = spans.span_hashes(data, ends - n, ends)
+    assert len(set(hashes.tolist())) == len(words)
+    for k, w in enumerate(words):
+        assert spans.span_hashes(np.frombuffer(w.upper(), np.uint8), np.array([0]), np.array([len(w)]), lower=True)[0] == hashes[k]
+
+
+def test_a_very_long_text(spark):
+    """One text of 8 MB among short ones: ids as the library has them, pieces within their length."""
+    from tokenizers import Tokenizer
+    text = " ".join(f"word{i % 7919}" for i in range(900_000))
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, None)], "doc_id long, text string")
+    ids = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids + [packing.END_ID]
+    out = packing.pack_documents(docs).where("doc_id = 1").orderBy("start").collect()
+    assert sum(r.length for r in out) == len(ids) and max(r.length for r in out) <= 1024
+    for r in out[:: len(out) // 50]:
+        assert zlib.crc32(np.array(ids[r.start:r.start + r.length], "<u4").tobytes()) == r.ids_crc32
+    one = {r.doc_id: r for r in pieces.encode_documents(docs).collect()}[1]
+    assert one.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_near_copies_under_repeated_ids(spark):
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (9, b), (3, a), (7, c), (7, c), (None, a), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert {t for i, t in out if i is not None} - {None, ""} == {a, b, c} and (None, a) in out
+    assert sorted(t[0] for i, t in out if i is not None and t) == ["a", "b", "c"] and sum(i == 7 for i, _ in out) == 1
