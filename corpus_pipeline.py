@@ -18,9 +18,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Rows without id stay."""
-    kept = hyper_minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near copies: the one with the smallest id. Rows without id stay.
+
+    Equal rows stay once. Different texts under one id are documents of their own, known by id and text, so that no text
+    goes but for a copy that stays.
+    """
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(digest).alias("one"), F.max(digest).alias("two")).where("one != two").select(F.col("doc_id").alias("many"))
+    known = docs.join(several, docs["doc_id"] == several["many"], "left").withColumn(
+        "many", F.when(F.col("many").isNull(), F.col("doc_id")).otherwise(F.xxhash64("doc_id", digest)))
+    kept = hyper_minhash.near_duplicates(known.select(F.col("many").alias("doc_id"), "text")).where("kept")
+    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    named = known.join(kept, known["many"] == kept["kept_id"], "left_semi").dropDuplicates(["many"]).drop("many")
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
