@@ -29,7 +29,7 @@ STAGES = {
     "stage_sector": ["sector_ratio_latest"],
 }
 SERVING = {
-    "company_search": lambda w: serving.company_search(w, "ny 01"),
+    "company_search": lambda w: serving.company_search(w, "ny 00000"),
     "company_ratio_trend": lambda w: serving.company_ratio_trend(w, 14),
     "multi_company_compare": lambda w: serving.multi_company_compare(w, [3, 14, 25, 47, 71]),
     "sector_percentile": lambda w: serving.sector_percentile(w, "Manufacturing"),

@@ -8,7 +8,14 @@ from __future__ import annotations
 import re
 
 from ledgermill.settings import Settings
-from ledgermill.sources.star import FORM_BY_PRIORITY, STANDARD, TEMPLATE, UNDECLARED_TAG
+from ledgermill.sources.star import (
+    CUSTOMERS_PER_COMPANY,
+    DEFECTS,
+    FORM_BY_PRIORITY,
+    STANDARD,
+    TEMPLATE,
+    UNDECLARED_TAG,
+)
 
 S = Settings()
 
@@ -42,11 +49,9 @@ REL["signed"] = "SELECT * FROM {} s(taxonomy, tag)".format(
 
 _forms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FORM_BY_PRIORITY.items())
 REL["raw_sub"] = f"""
-SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS adsh, CAST(o_custkey % 100 AS BIGINT) AS cik,
-  'Company ' || lpad(CAST(o_custkey % 100 AS VARCHAR), 3, '0') AS name,
-  CASE WHEN o_orderkey % 10 <> 0 THEN CAST(100 + (o_custkey % 100) * 97 AS INTEGER) END AS sic,
-  CASE WHEN o_custkey % 100 < 90
-    THEN lpad(CAST((o_custkey % 4 + 1) * 3 AS VARCHAR), 2, '0') || '30' END AS fye,
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS adsh, cik, 'Company ' || lpad(CAST(cik AS VARCHAR), 8, '0') AS name,
+  CASE WHEN o_orderkey % 10 <> 0 THEN CAST(100 + (cik % 100) * 97 AS INTEGER) END AS sic,
+  CASE WHEN cik % 100 < 90 THEN lpad(CAST((o_custkey % 4 + 1) * 3 AS VARCHAR), 2, '0') || '30' END AS fye,
   CASE left(o_orderpriority, 1) {_forms} END AS form,
   CASE WHEN o_orderkey % 101 = 0 THEN '19991399' ELSE strftime(last_day(make_date(
     CAST(year(o_orderdate) AS INTEGER), CAST(quarter(o_orderdate) * 3 AS INTEGER), 1)), '%Y%m%d') END AS period,
@@ -55,8 +60,9 @@ SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS adsh, CAST(o_custkey % 100
     ELSE 'Q' || quarter(o_orderdate) END AS fp,
   strftime(CAST(o_orderdate AS DATE) + 100, '%Y%m%d') AS filed,
   year(o_orderdate) || 'q' || quarter(o_orderdate) AS dataset_quarter
-FROM orders"""
+FROM (SELECT *, CAST(o_custkey // {CUSTOMERS_PER_COMPANY} AS BIGINT) AS cik FROM orders)"""
 
+_defects = " ".join(f"WHEN t.tag = '{tag}' AND {lines} THEN {factor}::DOUBLE" for tag, lines, factor in DEFECTS)
 REL["raw_num"] = f"""
 SELECT s.adsh, t.tag, CASE WHEN l_partkey % 50 = 7 THEN s.adsh ELSE '{STANDARD}' END AS version,
   strftime(last_day(make_date(CAST(year(l_shipdate) AS INTEGER), CAST(quarter(l_shipdate) * 3 AS INTEGER), 1)),
@@ -71,18 +77,16 @@ SELECT s.adsh, t.tag, CASE WHEN l_partkey % 50 = 7 THEN s.adsh ELSE '{STANDARD}'
     * CASE WHEN t.iord = 'D' THEN 1 + l_linenumber % 4 ELSE 1 END
     * CASE WHEN t.idx % 7 <> l_linenumber - 1 THEN 1.0::DOUBLE WHEN l_tax > 0.065 THEN 1.05::DOUBLE
         WHEN l_tax > 0.035 THEN 1.0005::DOUBLE ELSE 1.0::DOUBLE END, 4)
-    * CASE WHEN t.tag = 'InventoryNet' AND l_quantity > 49 THEN -1.0::DOUBLE
-        WHEN t.tag = 'Assets' AND l_quantity > 49 AND l_discount > 0.095 THEN 1e9::DOUBLE
-        ELSE 1.0::DOUBLE END END AS value,
+    * CASE {_defects} ELSE 1.0::DOUBLE END END AS value,
   CAST(NULL AS VARCHAR) AS footnote, s.dataset_quarter
 FROM lineitem l JOIN raw_sub s ON s.adsh = lpad(CAST(l_orderkey AS VARCHAR), 10, '0')
 JOIN template t ON t.idx % 5 = l_partkey % 5"""
 
 REL["raw_tag"] = f"""
-SELECT tag, '{STANDARD}' AS version, 0 AS custom, 0 AS abstract, datatype,
-  CASE iord WHEN 'I' THEN 'I' ELSE 'D' END AS iord, 'C' AS crdr, tag AS tlabel, '' AS doc,
-  '1995q1' AS dataset_quarter
-FROM template WHERE idx <> {UNDECLARED_TAG}"""
+SELECT n.tag, n.version, CAST(n.version <> '{STANDARD}' AS INTEGER) AS custom, 0 AS abstract, t.datatype,
+  CASE t.iord WHEN 'I' THEN 'I' ELSE 'D' END AS iord, 'C' AS crdr, n.tag AS tlabel, '' AS doc, n.dataset_quarter
+FROM (SELECT tag, version, min(dataset_quarter) AS dataset_quarter FROM raw_num GROUP BY tag, version) n
+JOIN template t ON t.tag = n.tag WHERE t.idx <> {UNDECLARED_TAG}"""
 
 REL["raw_pre"] = """
 SELECT DISTINCT n.adsh, n.tag, n.version, CASE t.iord WHEN 'I' THEN 'BS' ELSE 'IS' END AS stmt, n.dataset_quarter
@@ -128,7 +132,8 @@ LEFT JOIN filing_order c ON c.cik = p.cik AND c.seq = fye_seq
 LEFT JOIN filing_order d ON d.cik = p.cik AND d.seq = k_seq
 LEFT JOIN sectors m ON b.sic BETWEEN m.major_group * 100 AND m.major_group * 100 + 99"""
 
-REL["tag"] = "SELECT DISTINCT tag, version, split_part(version, '/', 1) AS taxonomy, datatype, iord FROM raw_tag"
+REL["tag"] = """
+SELECT DISTINCT tag, version, split_part(version, '/', 1) AS taxonomy, custom = 1 AS is_custom, datatype, iord FROM raw_tag"""
 
 REL["period"] = f"""
 SELECT DISTINCT {as_date('ddate')} AS period_end, qtrs FROM raw_num"""

@@ -12,24 +12,28 @@ from ledgermill.schema import NUM_KEY, QUARTER
 CONSOLIDATED_STANDARD = "is_consolidated AND NOT is_custom_tag"
 
 
-def fact_financial_facts(raw_num: DataFrame, filings: DataFrame, companies: DataFrame) -> DataFrame:
-    """Every parsed number of an in-scope filing, one row per number key.
-
-    Copies are removed first: the group limit of the window leaves one row per key and input partition, and
-    the eight key columns spread any large filing. What a number needs from its filing and company is joined
-    once into a narrow context table, so the large side meets a single join; it is broadcast by Spark when its
-    size allows and otherwise a sort-merge join whose hot accession numbers adaptive execution splits.
+def fact_financial_facts(raw_num: DataFrame, filings: DataFrame, companies: DataFrame, tags: DataFrame) -> DataFrame:
+    """Every parsed number of an in-scope filing, one row per number key, with what its tag declares.
+
+    The numbers are dealt once, by filing. That one exchange serves the join with the narrow context of in-scope filings,
+    which drops the others before anything is sorted, and the choice among copies, whose keys begin with the filing; a
+    filing too large for one task is split by adaptive execution. The context is hashed, one short row per filing in a
+    partition, so that the numbers need no sort for the join. Declared types are looked up here, once for all tables
+    that need them: ``tag_declared`` tells whether the (tag, version) is declared at all.
     """
+    context = (filings.where("in_scope")
+               .select("adsh", "cik", "form", "filed", "report_type", F.col("period").alias("filing_period"))
+               .join(companies.select("cik", "fiscal_year_end_month"), "cik"))
     numbers = (raw_num.where(F.col("value").isNotNull())
                .withColumn("period_end", dates.compact_date(F.col("ddate")))
-               .where(F.col("period_end").isNotNull()))
+               .where(F.col("period_end").isNotNull())
+               .repartition("adsh").join(context.hint("shuffle_hash"), "adsh"))
     order = [F.col(QUARTER).desc_nulls_last(), F.col("value").desc(), F.col("footnote").desc_nulls_last()]
     numbers = pick_first(numbers, NUM_KEY, order)
-    context = (filings.where("in_scope")
-               .select("adsh", "cik", "form", "filed", "report_type", F.col("period").alias("filing_period"))
-               .join(companies.select("cik", "fiscal_year_end_month"), "cik"))
+    types = tags.select("tag", "version", "datatype", "iord", F.lit(True).alias("tag_declared"))
+    numbers = numbers.join(types, ["tag", "version"], "left")
     end, year_end = F.col("period_end"), F.col("fiscal_year_end_month")
-    return numbers.join(context, "adsh").select(
+    return numbers.select(
         "adsh", "cik", "tag", "version",
         taxonomy_of(F.col("version")).alias("taxonomy"),
         (F.col("version") == F.col("adsh")).alias("is_custom_tag"),
@@ -40,19 +44,20 @@ def fact_financial_facts(raw_num: DataFrame, filings: DataFrame, companies: Data
         (end == F.col("filing_period")).alias("is_current_period"),
         dates.fiscal_year(end, year_end).alias("fiscal_year"),
         dates.fiscal_quarter(end, year_end).alias("fiscal_quarter"),
-        QUARTER,
+        QUARTER, "datatype", "iord", F.coalesce("tag_declared", F.lit(False)).alias("tag_declared"),
     )
 
 
 def with_tag_types(facts: DataFrame, tags: DataFrame, *columns: str) -> DataFrame:
-    """Facts joined to the declared attributes of their (tag, version); undeclared tags drop out."""
+    """Facts of declared tags with the named attributes. The fact table carries them; other facts are joined to ``tags``."""
+    if "tag_declared" in facts.columns:
+        return facts.where("tag_declared").drop("tag_declared")
     return facts.join(tags.select("tag", "version", *columns), ["tag", "version"])
 
 
 def filing_currency(facts: DataFrame, tags: DataFrame) -> DataFrame:
     """The most frequent monetary unit of each filing, ties by name."""
-    monetary = with_tag_types(facts.where("is_consolidated").select("adsh", "tag", "version", "uom"),
-                              tags.where("datatype = 'monetary'"))
+    monetary = with_tag_types(facts.where("is_consolidated"), tags, "datatype").where("datatype = 'monetary'")
     counted = monetary.groupBy("adsh", "uom").agg(F.count(F.lit(1)).alias("n"))
     return (pick_first(counted, ["adsh"], [F.col("n").desc(), F.col("uom").asc_nulls_last()])
             .select("adsh", F.col("uom").alias("currency"), F.col("n").alias("n_monetary_facts")))

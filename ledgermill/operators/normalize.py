@@ -88,10 +88,8 @@ def metric_cell(metric: str, columns: list[str], where: str = "TRUE") -> str:
 def _derived_cell(rule: Derivation) -> str:
     """The cell of a derived metric from the cells of its terms; NULL when a required term is absent."""
     names = [name for _, name in rule.terms]
-    signed = [f"{sign} * nvl({name}.value, {'0D' if name in rule.optional else 'NULL'})" for sign, name in rule.terms]
-    value = f"aggregate(array({', '.join(signed)}), 0D, (total, term) -> total + term)"
-    gaps = ["FALSE", *[f"{name} IS NULL" for name in names if name not in rule.optional]]
-    usable = f"NOT exists(array({', '.join(gaps)}), gap -> gap)"
+    amounts = [f"coalesce({name}.value, 0D)" if name in rule.optional else f"{name}.value" for name in names]
+    value = " ".join(f"{'+' if sign > 0 else '-'} {amount}" for (sign, _), amount in zip(rule.terms, amounts, strict=True))
     present = f"array_compact(array({', '.join(names)}))"
     latest = (f"array_max(transform(filter({present}, c -> c.source_filed IS NOT NULL), "
               "c -> struct(c.source_filed, c.source_adsh, c.source_form)))")
@@ -103,7 +101,7 @@ def _derived_cell(rule: Derivation) -> str:
         "source_form": f"{latest}.source_form",
         "is_restated": f"exists({present}, c -> c.is_restated)",
     })
-    return case((usable, cell))
+    return case((f"({value}) IS NOT NULL", cell))
 
 
 def derive(reported: DataFrame, settings: Settings) -> DataFrame:

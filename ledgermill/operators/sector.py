@@ -52,12 +52,14 @@ def sector_quantiles(latest: DataFrame) -> DataFrame:
 def sector_histogram(latest: DataFrame, bins: int = 40) -> DataFrame:
     """Counts per bin between the 5th and 95th percentile; tails fall into the edge bins.
 
-    The bounds are one row per sector and ratio, both bounded by configuration, and are broadcast.
+    The bounds are one row per sector and ratio, both bounded by configuration, and are broadcast. A value within a
+    rounding error of an edge lies on it.
     """
     bounds = exact_quantiles(latest, ["sector", "ratio"], "value", {"low": 0.05, "high": 0.95})
     clipped = F.least(F.greatest(F.col("value"), F.col("low")), F.col("high"))
     step = (F.col("high") - F.col("low")) / bins
-    position = F.when(step > 0, F.least(F.floor(F.try_divide(clipped - F.col("low"), step)), F.lit(bins - 1)))
+    position = F.when(step > 0, F.least(F.floor(F.round(F.try_divide(clipped - F.col("low"), step), 9)),
+                                        F.lit(bins - 1)))
     return (latest.select("sector", "ratio", "value")
             .join(F.broadcast(bounds.drop("n_group")), ["sector", "ratio"])
             .withColumn("bin", F.coalesce(position, F.lit(0)).cast("int"))

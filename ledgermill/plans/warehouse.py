@@ -107,7 +107,7 @@ class Warehouse(Mapping):
             "dim_period": lambda: dims.dim_period(self["raw_num"]),
             "dim_tag": lambda: dims.dim_tag(self["raw_tag"]),
             "fact_financial_facts": lambda: facts.fact_financial_facts(
-                self["raw_num"], self["dim_filing"], self["dim_company"]),
+                self["raw_num"], self["dim_filing"], self["dim_company"], self["dim_tag"]),
             "disputed_facts": lambda: restatements.disputed_facts(self["fact_financial_facts"]),
             "restatements": lambda: restatements.restatements(
                 self["disputed_facts"], s.tolerance("restatement_rel")),

@@ -40,6 +40,19 @@ TEMPLATE = [
 ]
 FORM_BY_PRIORITY = {"1": "10-K/A", "2": "10-K", "3": "10-Q", "4": "10-Q/A", "5": "8-K"}
 UNDECLARED_TAG = 18  # left out of raw_tag so that referential integrity has failures
+# (tag, lines concerned, factor): amounts that rules and ratios have to notice; the first that fits counts
+DEFECTS = [
+    ("InventoryNet", "l_quantity > 49", -1.0),
+    ("Assets", "l_quantity > 49 AND l_discount > 0.095", 1e9),
+    ("Assets", "l_quantity < 4 AND l_tax > 0.055", 0.0),
+    ("AssetsCurrent", "l_quantity > 48", 3.0),
+    ("LiabilitiesCurrent", "l_quantity > 48", 5.0),
+    ("LiabilitiesCurrent", "l_quantity < 4", 0.0),
+    ("StockholdersEquity", "l_quantity > 48 AND l_discount > 0.055", -1.0),
+    ("Revenues", "l_quantity > 49", -1.0),
+    ("Revenues", "l_quantity < 4 AND l_tax > 0.035", 0.0),
+]
+CUSTOMERS_PER_COMPANY = 25  # companies grow with the data; numbers per company are about those of real filings
 
 
 def template(spark: SparkSession) -> DataFrame:
@@ -64,7 +77,9 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _submissions(orders: DataFrame) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    key, company = F.col("o_orderkey"), F.col("o_custkey") % 100
+    key = F.col("o_orderkey")
+    company = F.floor(F.col("o_custkey") / CUSTOMERS_PER_COMPANY)
+    kind = company % 100
     priority = F.substring("o_orderpriority", 1, 1)
     form = F.lit(None).cast("string")
     for code, name in FORM_BY_PRIORITY.items():
@@ -73,9 +88,9 @@ def _submissions(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.lpad(key.cast("string"), 10, "0").alias("adsh"),
         company.cast("long").alias("cik"),
-        F.concat(F.lit("Company "), F.lpad(company.cast("string"), 3, "0")).alias("name"),
-        F.when(key % 10 != 0, 100 + company * 97).cast("int").alias("sic"),
-        F.when(company < 90, F.concat(F.lpad(((F.col("o_custkey") % 4 + 1) * 3).cast("string"), 2, "0"),
+        F.concat(F.lit("Company "), F.lpad(company.cast("string"), 8, "0")).alias("name"),
+        F.when(key % 10 != 0, 100 + kind * 97).cast("int").alias("sic"),
+        F.when(kind < 90, F.concat(F.lpad(((F.col("o_custkey") % 4 + 1) * 3).cast("string"), 2, "0"),
                                       F.lit("30"))).alias("fye"),
         form.alias("form"),
         F.when(key % 101 == 0, F.lit("19991399")).otherwise(_quarter_end(day)).alias("period"),
@@ -91,9 +106,11 @@ def raw_sub(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_num(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _read(spark, folder, "lineitem")
-    filings = (_submissions(spark.read.parquet(f"{folder}/orders.parquet"))
-               .select("adsh", "cik", QUARTER))
+    """Line items by template row. The lines are dealt by filing first, for each becomes several numbers."""
+    lines = _read(spark, folder, "lineitem").select(
+        F.lpad(F.col("l_orderkey").cast("string"), 10, "0").alias("adsh"), "l_partkey", "l_suppkey", "l_linenumber",
+        "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate").repartition("adsh")
+    filings = _submissions(_read(spark, folder, "orders")).select("adsh", "cik", QUARTER)
     shipped = F.col("l_shipdate").cast("date")
     duration = 1 + F.col("l_linenumber") % 4
     instant, fixed = F.col("iord") == "I", F.col("iord") == "F"
@@ -102,11 +119,9 @@ def raw_num(spark: SparkSession, folder: str) -> DataFrame:
     length = F.when(F.col("iord") == "D", duration).otherwise(1)
     noise = F.when(F.col("idx") % 7 != F.col("l_linenumber") - 1, F.lit(1.0)).when(
         F.col("l_tax") > 0.065, F.lit(1.05)).when(F.col("l_tax") > 0.035, F.lit(1.0005)).otherwise(F.lit(1.0))
-    defect = F.when((F.col("tag") == "InventoryNet") & (F.col("l_quantity") > 49), F.lit(-1.0)).when(
-        (F.col("tag") == "Assets") & (F.col("l_quantity") > 49) & (F.col("l_discount") > 0.095),
-        F.lit(1e9)).otherwise(F.lit(1.0))
-    joined = (lines.withColumn("adsh", F.lpad(F.col("l_orderkey").cast("string"), 10, "0"))
-              .join(filings, "adsh")
+    defect = F.expr("CASE " + " ".join(f"WHEN tag = '{tag}' AND {lines_} THEN {factor}D"
+                                       for tag, lines_, factor in DEFECTS) + " ELSE 1D END")
+    joined = (lines.join(filings, "adsh")
               # 22 template rows, a constant of this module: safe to broadcast
               .join(F.broadcast(template(spark)), F.col("idx") % 5 == F.col("l_partkey") % 5))
     return _padded(joined.select(
@@ -125,12 +140,14 @@ def raw_num(spark: SparkSession, folder: str) -> DataFrame:
     ), "num")
 
 
-def raw_tag(spark: SparkSession, folder: str) -> DataFrame:
-    rows = template(spark).where(F.col("idx") != UNDECLARED_TAG)
-    return _padded(rows.select(
-        "tag", F.lit(STANDARD).alias("version"), F.lit(0).alias("custom"), F.lit(0).alias("abstract"), "datatype",
+def raw_tag(numbers: DataFrame) -> DataFrame:
+    """The (tag, version) pairs in use, declared in the first quarter that uses them; a filing's own tags are custom."""
+    used = numbers.groupBy("tag", "version").agg(F.min(QUARTER).alias(QUARTER))
+    declared = template(numbers.sparkSession).where(F.col("idx") != UNDECLARED_TAG)
+    return _padded(used.join(F.broadcast(declared), "tag").select(
+        "tag", "version", (F.col("version") != STANDARD).cast("int").alias("custom"), F.lit(0).alias("abstract"), "datatype",
         F.when(F.col("iord") == "I", F.lit("I")).otherwise(F.lit("D")).alias("iord"), F.lit("C").alias("crdr"),
-        F.col("tag").alias("tlabel"), F.lit("").alias("doc"), F.lit("1995q1").alias(QUARTER)), "tag")
+        F.col("tag").alias("tlabel"), F.lit("").alias("doc"), QUARTER), "tag")
 
 
 def raw_pre(numbers: DataFrame) -> DataFrame:
@@ -149,6 +166,6 @@ def raw_tables(spark: SparkSession, folder: str) -> dict:
     return {
         "raw_sub": lambda tables: raw_sub(spark, folder),
         "raw_num": lambda tables: raw_num(spark, folder),
-        "raw_tag": lambda tables: raw_tag(spark, folder),
+        "raw_tag": lambda tables: raw_tag(tables["raw_num"]),
         "raw_pre": lambda tables: raw_pre(tables["raw_num"]),
     }

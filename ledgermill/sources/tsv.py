@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,53 +22,71 @@ class RejectRateExceeded(RuntimeError):
     """Too large a share of the lines of a file failed to parse."""
 
 
-def verify_header(spark: SparkSession, path: str, name: str) -> None:
-    """Compare the header of a file with its declared columns, in order and exactly."""
-    expected = SOURCES[name].fieldNames()
+def header_of(name: str, declared: T.StructType | None = None) -> str:
+    return "\t".join((declared or SOURCES[name]).fieldNames())
+
+
+def verify_header(spark: SparkSession, path: str, name: str, declared: T.StructType | None = None) -> None:
+    """Compare the first line of a file, or of one file of a folder, with the declared columns, in order and exactly.
+
+    This is the cheap look before a load; the load itself finds a header in every file or fails.
+    """
+    expected = (declared or SOURCES[name]).fieldNames()
     first = spark.read.text(path).head()
     got = first[0].rstrip("\r").split("\t") if first else []
     if got != expected:
         raise HeaderMismatch(f"{name}: header is {got}, declared are {expected}")
 
 
-def scan(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Every data line of a file as typed columns, with a flag for lines that cannot be taken.
+def is_header(name: str, declared: T.StructType | None = None) -> Column:
+    return F.regexp_replace("value", "\r$", "") == header_of(name, declared)
+
 
-    Quoting and escaping are off, short lines end in NULLs and bytes that are not UTF-8 become U+FFFD. Fields
-    are read as text and cast explicitly: a line is rejected when a field does not fit its type or when it has
-    more fields than declared, and it keeps its text. A short line is not rejected for being short.
+def parse(lines: DataFrame, name: str, declared: T.StructType | None = None) -> DataFrame:
+    """Every data line of ``lines`` (a column ``value``, headers among them) as typed columns, with a flag for lines that
+    cannot be taken. Other columns pass through.
+
+    Nothing is quoted or escaped, short lines end in NULLs, an empty field is NULL, and bytes that are not UTF-8 become
+    U+FFFD. Fields are cast explicitly: a line is rejected when a field does not fit its type or when it has more
+    fields than declared, and it keeps its text. A short line is not rejected for being short; a blank line is none.
     """
-    schema = SOURCES[name]
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
-                           + [T.StructField(RAW_LINE, T.StringType())])
-    lines = (spark.read.schema(as_text)
-             .option("sep", "\t").option("header", True).option("quote", "").option("escape", "")
-             .option("encoding", "UTF-8").option("enforceSchema", False).option("mode", "PERMISSIVE")
-             .option("columnNameOfCorruptRecord", RAW_LINE).option("maxCharsPerColumn", -1)
-             .csv(path))
-    casts, misfits = [], [f"size(split({RAW_LINE}, '\\t')) > {len(schema.fields)}"]
-    for f in schema.fields:
+    schema = declared or SOURCES[name]
+    text_line = "regexp_replace(make_valid_utf8(value), '\\r$', '')"
+    others = [c for c in lines.columns if c != "value"]
+    fields = (lines.where(~is_header(name, declared)).selectExpr(*others, f"{text_line} AS {RAW_LINE}")
+              .where(f"{RAW_LINE} <> ''").selectExpr("*", f"split({RAW_LINE}, '\t', -1) AS _fields"))
+    casts, misfits = [], [f"size(_fields) > {len(schema.fields)}"]
+    for k, f in enumerate(schema.fields):
+        field = f"nullif(get(_fields, {k}), '')"
         if isinstance(f.dataType, T.StringType):
-            casts.append(f.name)
+            casts.append(f"{field} AS {f.name}")
         else:
             kind = f.dataType.simpleString()
-            casts.append(f"try_cast({f.name} AS {kind}) AS {f.name}")
-            misfits.append(f"({f.name} IS NOT NULL AND try_cast({f.name} AS {kind}) IS NULL)")
-    rejected = f"coalesce({any_of(misfits)}, false)"
-    whole = f"concat_ws('\t', {', '.join(f'coalesce({f.name}, ' + repr('') + ')' for f in schema.fields)})"
-    return lines.selectExpr(*casts, f"{rejected} AS {REJECTED}",
-                            f"CASE WHEN {rejected} THEN coalesce({RAW_LINE}, {whole}) END AS {RAW_LINE}")
+            casts.append(f"try_cast({field} AS {kind}) AS {f.name}")
+            misfits.append(f"({field} IS NOT NULL AND try_cast({field} AS {kind}) IS NULL)")
+    rejected = any_of(misfits)
+    return fields.selectExpr(*others, *casts, f"{rejected} AS {REJECTED}",
+                             f"CASE WHEN {rejected} THEN {RAW_LINE} END AS {RAW_LINE}")
+
+
+def scan(spark: SparkSession, path: str, name: str, declared: T.StructType | None = None) -> DataFrame:
+    """The lines of a file or of a folder of files, parsed."""
+    return parse(spark.read.text(path), name, declared)
 
 
 @dataclass(frozen=True)
 class Accounting:
-    """Lines of one file: all, parsed and rejected."""
+    """Lines of one file: those seen in its text, and those parsed and rejected. The first number is counted apart."""
 
     file: str
     lines: int
     parsed: int
     rejected: int
 
+    @property
+    def agrees(self) -> bool:
+        return self.lines == self.parsed + self.rejected
+
     @property
     def reject_rate(self) -> float:
         return self.rejected / self.lines if self.lines else 0.0
