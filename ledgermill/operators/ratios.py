@@ -1,8 +1,9 @@
 """Ratio inputs and the thirteen ratios, evaluated as SQL expressions over one row per company and period."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ledgermill.functions import dates
 from ledgermill.functions.sqltext import all_of, any_of, case, struct, text, texts
@@ -33,61 +34,79 @@ def _from_ytd(metric: str, n: int) -> str:
         "status": "'derived_from_ytd'", "currency": f"{now}.currency"})))
 
 
+def _months(start: int, end: int) -> WindowSpec:
+    """The periods of a company that end between ``start`` and ``end`` months from the current one's month. A company has
+    at most one row per day, so a frame of months is small and a partition is bounded by the calendar."""
+    return Window.partitionBy("cik").orderBy("month").rangeBetween(start, end)
+
+
 def period_rows(normalized: DataFrame) -> DataFrame:
-    """All instants and all flow durations of a company and period end side by side, with the standalone
-    quarter of each flow (``<metric>_q``): the reported one, else the shortest year-to-date difference."""
+    """All instants and all flow durations of a company and period end side by side, with the standalone quarter of each
+    flow (``<metric>_q``): the reported one, else the shortest year-to-date difference; and with the revenue of a year
+    before (``prior_4`` and ``prior_q``).
+
+    The narrow rows are dealt once, by company. The periods side by side, the year to date of the quarter before and the
+    nearest period of the year before all come from that one exchange, the last two by frames over months.
+    """
     source = normalized.selectExpr(*PERIOD, "qtrs", "fiscal_year", "fiscal_quarter", "metric", "value",
                                    "source_adsh AS adsh", "source_tag AS tag", "status", "currency")
     wanted = (f"(qtrs = 0 AND metric IN ({texts(INSTANTS)})) OR "
               f"(qtrs BETWEEN 1 AND 4 AND metric IN ({texts(FLOWS)}))")
     cells = [f"{metric_cell(m, CELL, 'qtrs = 0')} AS {m}" for m in INSTANTS]
     cells += [f"{metric_cell(m, CELL, f'qtrs = {n}')} AS {m}_{n}" for m in FLOWS for n in (1, 2, 3, 4)]
-    wide = source.where(wanted).groupBy(*PERIOD).agg(*[F.expr(e) for e in (
+    wide = source.where(wanted).repartition("cik").groupBy(*PERIOD).agg(*[F.expr(e) for e in (
         "max(fiscal_year) AS fiscal_year", "max(fiscal_quarter) AS fiscal_quarter", *cells)])
-    shorter = [f"{m}_{n}" for m in FLOWS for n in (1, 2, 3)]
-    before = wide.selectExpr("cik", "period_end AS before_end", *[f"{name} AS before_{name}" for name in shorter])
-    chained = (wide.withColumn("before_end", dates.month_end_before(F.col("period_end"), 3))
-               .join(before, ["cik", "before_end"], "left"))
+    wide = wide.withColumn("month", dates.month_index(F.col("period_end")))
+    shorter = struct({f"before_{m}_{n}": f"{m}_{n}" for m in FLOWS for n in (1, 2, 3)})
+    month_end = F.when(F.col("period_end") == F.last_day("period_end"), F.expr(shorter))
+    chained = wide.withColumn("before", F.max(month_end).over(_months(-3, -3))).selectExpr(*wide.columns, "before.*")
     quarters = [f"coalesce({m}_1, {', '.join(_from_ytd(m, n) for n in (2, 3, 4))}) AS {m}_q" for m in FLOWS]
-    return chained.selectExpr(*wide.columns, *quarters)
+    rows = chained.selectExpr(*wide.columns, *quarters)
+    offered = F.when(F.expr("revenue_4 IS NOT NULL OR revenue_q IS NOT NULL"),
+                     F.struct(F.col("period_end").alias("prior_end"), "revenue_4", "revenue_q"))
+    near = rows.withColumn("near", F.collect_list(offered).over(_months(-13, -11)))
+    return near.selectExpr(*rows.columns, f"{_nearest('revenue_4')} AS prior_4", f"{_nearest('revenue_q')} AS prior_q")
+
+
+def _nearest(cell: str) -> str:
+    """The cell of the period nearest to one year earlier, at most a month away, the earlier one on a tie; none for a
+    period that has no such cell itself."""
+    end = "last_day(add_months(period_end, {}))"
+    fits = f"c -> c.{cell} IS NOT NULL AND c.prior_end BETWEEN {end.format(-13)} AND {end.format(-11)}"
+    ranked = (f"transform(filter(near, {fits}), "
+              f"c -> struct(abs(datediff(c.prior_end, {end.format(-12)})) AS days, c.prior_end AS prior_end, c.{cell} AS cell))")
+    return case((f"{cell} IS NOT NULL", f"array_min({ranked}).cell"))
 
 
 def basis_rows(periods: DataFrame) -> DataFrame:
     """One row per basis that has a flow: FY from annual durations, Q from standalone quarters. Instants apply
     to both."""
     def side(basis: str, suffix: str) -> str:
-        return case((any_of(f"{m}_{suffix} IS NOT NULL" for m in FLOWS),
-                     struct({"basis": text(basis), **{m: f"{m}_{suffix}" for m in FLOWS}})))
+        return case((any_of(f"{m}_{suffix} IS NOT NULL" for m in FLOWS), struct({
+            "basis": text(basis), **{m: f"{m}_{suffix}" for m in FLOWS}, PRIOR_REVENUE: f"prior_{suffix}"})))
 
     return (periods.selectExpr(*PERIOD, "fiscal_year", "fiscal_quarter", *INSTANTS,
                                f"explode(array_compact(array({side('FY', '4')}, {side('Q', 'q')}))) AS s")
-            .selectExpr("s.basis", *PERIOD, "fiscal_year", "fiscal_quarter", *[f"s.{m}" for m in FLOWS], *INSTANTS))
-
-
-def prior_year_revenue(rows: DataFrame) -> DataFrame:
-    """Revenue of the period nearest to one year earlier, at most a month away, the earlier one on a tie.
-
-    Every revenue offers itself to the three months that may look back to it, which turns the nearest-match
-    into an equality join on company and month. A month holds at most 31 period ends, so no match grows.
-    """
-    revenue = rows.where("revenue IS NOT NULL").select(*ROW, "revenue")
-    month = dates.month_index(F.col("period_end"))
-    earlier = revenue.select(
-        "basis", "cik", F.col("period_end").alias("prior_end"), F.col("revenue").alias(PRIOR_REVENUE),
-        F.explode(F.array(month + 11, month + 12, month + 13)).alias("month"))
-    target = dates.month_end_before(F.col("period_end"), 12)
-    near = F.col("prior_end").between(dates.month_end_before(F.col("period_end"), 13),
-                                      dates.month_end_before(F.col("period_end"), 11))
-    matched = revenue.select(*ROW, month.alias("month")).join(earlier, ["basis", "cik", "month"]).where(near)
-    nearest = F.min(F.struct(F.abs(F.datediff("prior_end", target)).alias("days"), F.col("prior_end"),
-                             F.col(PRIOR_REVENUE)))
-    return matched.groupBy(*ROW).agg(nearest.alias("m")).select(*ROW, f"m.{PRIOR_REVENUE}")
+            .selectExpr("s.basis", *PERIOD, "fiscal_year", "fiscal_quarter", *[f"s.{m}" for m in FLOWS], *INSTANTS,
+                        f"s.{PRIOR_REVENUE}"))
 
 
 def ratio_rows(normalized: DataFrame) -> DataFrame:
     """One row per basis, company and period with all inputs of the ratios as structs."""
-    rows = basis_rows(period_rows(normalized))
-    return rows.join(prior_year_revenue(rows), ROW, "left")
+    return basis_rows(period_rows(normalized))
+
+
+def shorter_before(normalized: DataFrame) -> DataFrame:
+    """Every value of a duration beyond one quarter with the next shorter one that ended a quarter earlier, where there is
+    one: one window over months instead of a self join."""
+    rows = normalized.select("cik", "metric", "period_end", "qtrs", "value").withColumn(
+        "month", dates.month_index(F.col("period_end")))
+    ended = F.when(F.col("period_end") == F.last_day("period_end"), F.struct("qtrs", "value"))
+    frame = Window.partitionBy("cik", "metric").orderBy("month").rangeBetween(-3, -3)
+    found = rows.withColumn("ended", F.collect_list(ended).over(frame)).where("qtrs > 1")
+    return (found.selectExpr("cik", "metric", "period_end", "qtrs", "value",
+                             "filter(ended, e -> e.qtrs = qtrs - 1) AS hits")
+            .where("size(hits) > 0").selectExpr("cik", "metric", "period_end", "qtrs", "value", "hits[0].value AS previous"))
 
 
 def ratio_inputs(rows: DataFrame) -> DataFrame:

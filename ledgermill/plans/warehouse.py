@@ -29,7 +29,13 @@ LAYOUT = {
     "fact_normalized": ["cik", "period_end"],
     "ratio_rows": ["cik", "period_end"],  # fact_ratios is computed row by row from it and keeps its order
     "sector_ratio_latest": ["sector", "ratio", "cik"],
+    "restatements": ["cik", "period_end"],
+    "dq_results": ["cik", "period_end"],
 }
+# Catalog tables are bucketed by what they are joined on, so that such joins need no exchange.
+BUCKETED = {"raw_sub": "adsh", "raw_num": "adsh", "raw_pre": "adsh", "dim_filing": "adsh", "filing_currency": "adsh",
+            "fact_financial_facts": "adsh", "dim_company": "cik", "fact_normalized": "cik", "fact_ratios": "cik",
+            "restatements": "cik", "dq_results": "cik"}
 AUDITED = ["raw_sub", "raw_num", "raw_tag", "raw_pre", "dim_filing", "dim_company", "dim_period", "dim_tag",
            "fact_financial_facts", "restatements", "filing_currency", "fact_normalized"]
 
@@ -86,10 +92,24 @@ class Warehouse(Mapping):
             self[name]
         return self
 
-    def save_as_tables(self, database: str, *names: str) -> None:
-        """Full rebuild of catalog tables."""
+    def save_as_tables(self, database: str, *names: str, buckets: int | None = None, path: str | None = None,
+                       suffix: str = "") -> None:
+        """Full rebuild of catalog tables, all by default.
+
+        Filings' tables are bucketed and sorted by filing, companies' tables by company, into as many ``buckets`` as
+        the session shuffles into; joins on these columns then read matching buckets, and a lookup reads one of them.
+        Rows are dealt to their buckets before the write, so each bucket is one file. ``path`` makes the tables external.
+        """
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         for name in names or self._plans():
-            self[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")
+            table, key = self[name], BUCKETED.get(name)
+            if key:
+                writer = table.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+            else:
+                writer = table.write
+            if path:
+                writer = writer.option("path", f"{path.rstrip('/')}/{name}")
+            writer.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}{suffix}")
 
     # ---- plans -------------------------------------------------------------------------------------------
 

@@ -21,7 +21,45 @@ def test_configuration_is_sound(spark):
     assert set(s.ratios) == set(ratios.RATIOS) and len(s.metrics) == 33
     s.metrics["cash"]["tags"].append("Assets")
     s.derivation_specs.append({"metric": "nope", "formula": "+revenue -what", "reason": "r"})
-    assert len(s.problems()) == 3 and s.alias_conflicts(spark).count() == 1
+    assert len(s.problems()) == 2 and s.alias_conflicts(spark).count() == 1
+    s.derivation_specs.append({"metric": "revenue", "formula": "+revenue -what", "reason": "r"})
+    assert [p for p in s.problems() if "revenue uses revenue itself" in p]
+
+
+def test_derivations_follow_their_terms(spark):
+    """Any order of the configuration that keeps the two sides of an identity gives the same rows."""
+    chain = [{"metric": m, "formula": f"+{t}", "reason": "r", "optional": []}
+             for m, t in (("net_income", "operating_income"), ("operating_income", "gross_profit"), ("gross_profit", "revenue"))]
+    assert [d.metric for d in Settings(derivation_specs=chain).derivations] == ["gross_profit", "operating_income", "net_income"]
+    assert [d.metric for d in Settings(derivation_specs=chain[::-1]).derivations] == ["gross_profit", "operating_income", "net_income"]
+    specs = Settings().derivation_specs
+    assert [d.metric for d in Settings().derivations] == [d["metric"] for d in specs]
+    t = Tables()
+    t.norm("revenue", 9, qtrs=1)
+    rows = t.frame(spark, "fact_normalized")
+    for order in (chain, chain[::-1], [chain[1], chain[0], chain[2]]):
+        found = derive(rows, Settings(derivation_specs=order)).collect()
+        assert {(r["metric"], r["value"]) for r in found} == {(m, 9.0) for m in ("gross_profit", "operating_income", "net_income")}
+
+
+def test_saved_tables_join_without_exchange(spark, tmp_path):
+    t = Tables()
+    for k in range(40):
+        t.filing(f"f{k}", cik=k % 7)
+        t.fact("Assets", k, adsh=f"f{k}", cik=k % 7)
+    w = t.warehouse(spark)
+    w.save_as_tables("default", "dim_filing", "fact_financial_facts", buckets=4, path=str(tmp_path), suffix="_saved")
+    filing, fact = spark.table("default.dim_filing_saved"), spark.table("default.fact_financial_facts_saved")
+    joined = fact.select("adsh", "value").join(filing.select("adsh", "form").hint("merge"), "adsh")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 40 and "SortMergeJoin" in plan and "Exchange" not in plan
+    switch = "spark.sql.sources.bucketing.autoBucketedScan.enabled"  # on, it leaves the number out of the plan's text
+    spark.conf.set(switch, False)
+    one = fact.where("adsh = 'f7'")
+    assert one.count() == 1 and "SelectedBucketsCount: 1 out of 4" in one._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset(switch)
+    w.save_as_tables("default", "dim_filing", buckets=4, path=str(tmp_path), suffix="_saved")  # a full rebuild
+    assert spark.table("default.dim_filing_saved").count() == 40
 
 
 def test_settings_from_files(tmp_path):
