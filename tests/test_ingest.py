@@ -165,8 +165,11 @@ def test_quarters_with_differing_columns(spark, tmp_path):
     assert rows.columns == [*SOURCES["num"].fieldNames(), "dataset_quarter"] and rows.count() == 6
     old = rows.where("dataset_quarter = '2022q2'").first()
     assert (old["segments"], old["footnote"], old["value"]) == ("Site=South;", None, 3.0)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     plan = rows.where("dataset_quarter = '2022q2'")._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*dataset_quarter#\d+ = 2022q2", plan)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], ", plan)[1]
+    assert "dataset_quarter" in filters and "2022q2" in filters, plan
 
 
 def test_quarter_window():
