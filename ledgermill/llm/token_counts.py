@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm.byte_bpe import encoded, totals, vocabulary_path
-from ledgermill.llm.common import documents, in_batches
+from ledgermill.llm.common import documents, in_batches, written
 
 GROUP = 1024  # neighbouring lengths whose sums are nested
 
@@ -30,8 +30,11 @@ def document_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def length_histogram(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``length`` and ``n_docs``, one row per length that occurs; no rows for no documents."""
-    return document_lengths(docs, path).groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    """``length`` and ``n_docs``, one row per length that occurs; no rows for no documents.
+
+    The histogram is written, so whatever is asked of it, each text is encoded once.
+    """
+    return written(document_lengths(docs, path).groupBy("length").agg(F.count(F.lit(1)).alias("n_docs")), "histogram")
 
 
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:
