@@ -19,10 +19,11 @@ from ledgermill.llm.vectors import blocks, matrix, sound
 K = 20
 SCALE = 64
 BLOCK = 4096     # candidates whose scores one array holds
-QUERIES = 1024   # queries that meet a candidate block in one task
+QUERIES = 1024   # queries whose scores against one candidate block are held at once
 LANES = 64       # queries accumulated side by side
-STRIPES = 8      # tasks that one query block is dealt to, at least
-STRIPE_BYTES = 32 << 20  # vectors of candidates that meet a query block in one task, on average
+STRIPES = 8      # tasks that one group of queries is dealt to, at least
+STRIPE_BYTES = 32 << 20  # vectors of candidates in one task, on average
+QUERY_BYTES = 32 << 20   # vectors of queries in one task, on average
 _PACKED = "block long, n long, ids binary, data binary"
 
 
@@ -85,23 +86,27 @@ def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, query_block: int = QUERIES,
-          stripes: int = STRIPES, stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
+          stripes: int = STRIPES, stripe_bytes: int = STRIPE_BYTES, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` its k best other rows of ``vectors``.
 
     Both have ``vec_id`` and ``v`` in whole numbers. A query does not meet the rows of its own id, and vectors of
-    another width have no score with it. Query blocks meet candidate blocks in groups of one query block and one
-    stripe of candidate blocks. A group is held by one task; ``stripes`` is their least number, and it grows with the
-    candidates, so that a stripe has about ``stripe_bytes`` of vectors (one block at least) whatever the table's size.
-    The stripes' results, k per query, are merged per query. Repeated ids give one row each.
+    another width have no score with it. Candidate blocks are dealt to stripes of about ``stripe_bytes``, query blocks
+    to groups of about ``query_bytes`` (one block at least), whatever the tables' size, and one task holds one of each.
+    So a candidate travels once per group of queries, not once per block of them, and a query once per stripe.
+    ``stripes`` is the least number of stripes. Their results, k per query, are merged per query. Repeated ids give one
+    row each.
     """
     rows = written(_packed(vectors, block), "candidates")
     held = rows.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
     stripes = max(stripes, -(-held // stripe_bytes))
     asked = written(_packed(queries, query_block), "queries")
     # blocks of queries, numbered from 0: their ids alone, no vectors
-    numbered = written(asked.select("block", (F.row_number().over(Window.orderBy("block")) - 1).alias("q")), "numbers")
-    every = F.sequence(F.lit(0), F.lit(max(0, numbered.count() - 1)))
-    # a stated query set against all rows, in blocks: each query block goes to every stripe and back
+    asking = asked.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
+    groups = max(1, -(-asking // query_bytes))
+    numbered = written(asked.select(
+        "block", F.pmod(F.row_number().over(Window.orderBy("block")), F.lit(groups)).alias("q")), "numbers")
+    every = F.sequence(F.lit(0), F.lit(groups - 1))
+    # a stated query set against all rows, in blocks: each group of queries meets every stripe
     sides = (asked.join(numbered, "block")
              .withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
              .select("q", "stripe", F.lit(True).alias("asks"), "ids", "data"))
@@ -109,27 +114,26 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK
              .select(F.explode(every).alias("q"), "stripe", F.lit(False).alias("asks"), "ids", "data"))
 
     def work(table: pa.Table) -> pa.Table:
-        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        kinds = table.column("asks").to_pylist()
-        order = sorted(range(len(kinds)), key=lambda i: not kinds[i])  # the query block first
-        q_ids = q_data = None
-        for i in order:
-            row = {c: table.column(c)[i].as_py() for c in ("ids", "data")}
-            if kinds[i]:
-                q_ids, q_data = _unpacked(row)
-                continue
-            ids, data = _unpacked(row)
-            if q_data is None or data.shape[1] != q_data.shape[1]:
-                continue
-            for low in range(0, len(q_ids), LANES):
-                scores = _accumulate(q_data[low:low + LANES], data)
-                for j, own in enumerate(q_ids[low:low + LANES].tolist()):
-                    keep = ids != own
-                    new = _best(ids[keep], scores[j][keep].astype(np.int64), k)
-                    old = found.get(low + j)
-                    found[low + j] = new if old is None else _best(
-                        np.concatenate([old[0], new[0]]), np.concatenate([old[1], new[1]]), k)
-        parts = [(np.full(len(i), q_ids[j]), i, s) for j, (i, s) in found.items()]
+        found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+        def sides_of(asks: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for i in np.flatnonzero(table.column("asks").to_numpy() == asks).tolist():
+                yield _unpacked({c: table.column(c)[i].as_py() for c in ("ids", "data")})
+
+        asked_here = list(sides_of(True))
+        for ids, data in sides_of(False):
+            for b, (q_ids, q_data) in enumerate(asked_here):
+                if data.shape[1] != q_data.shape[1]:
+                    continue
+                for low in range(0, len(q_ids), LANES):
+                    scores = _accumulate(q_data[low:low + LANES], data)
+                    for j, own in enumerate(q_ids[low:low + LANES].tolist(), low):
+                        keep = ids != own
+                        new = _best(ids[keep], scores[j - low][keep].astype(np.int64), k)
+                        old = found.get((b, j))
+                        found[b, j] = new if old is None else _best(
+                            np.concatenate([old[0], new[0]]), np.concatenate([old[1], new[1]]), k)
+        parts = [(np.full(len(i), asked_here[b][0][j]), i, s) for (b, j), (i, s) in found.items()]
         made = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), made, strict=True)))
 
