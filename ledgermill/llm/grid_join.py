@@ -23,6 +23,8 @@ AXES = 8           # leading principal dimensions that order and bound
 INTERVAL = 4096    # vectors that one side of a task holds
 LEAF = 512         # rows compared at once inside a task
 FAN = 4            # intervals that one of the next level spans
+TILE = 16          # intervals on each side of a task, at most
+TILE_BYTES = 32 << 20  # vectors on each side of a task, at most (one interval at least)
 
 
 def units(vectors: DataFrame, **names: str) -> DataFrame:
@@ -185,6 +187,32 @@ def _join(table: pa.Table, turned: dict[int, np.ndarray], cosine: float, epsilon
                      "root": pa.array(root, pa.int64())})
 
 
+def _tile(intervals: DataFrame, lanes: int) -> int:
+    """Intervals on each side of a tile: as many as its bytes allow, but with two tiles for each of ``lanes`` tasks."""
+    n, largest = intervals.agg(F.count(F.lit(1)), F.max(F.octet_length("data"))).first()
+    tile = max(1, min(TILE, TILE_BYTES // max(1, largest or 0)))
+    while tile > 1 and (k := -(-n // tile)) * (k + 1) < 4 * lanes:
+        tile -= 1
+    return tile
+
+
+def _join_tile(table: pa.Table, turned: dict[int, np.ndarray], cosine: float, epsilon: float, leaf: int) -> pa.Table:
+    """Links of all pairs of intervals that a tile has to compare, added up per vector."""
+    at = {n: i for i, n in enumerate(table.column("n").to_pylist())}
+    sides = table.select(["n", "ids", "copies", "data"])
+    nodes, links, trees = np.empty(0, np.int64), np.empty(0, np.int64), (np.empty(0, np.int64), np.empty(0, np.int64))
+    for pair in table.column("todo")[0].as_py():
+        met = _join(sides.take(sorted({at[pair["a"]], at[pair["b"]]})), turned, cosine, epsilon, leaf)
+        node, n, root = (met.column(c).to_numpy() for c in ("node", "links", "root"))
+        nodes, back = np.unique(np.concatenate([nodes, node[n > 0]]), return_inverse=True)
+        links = np.bincount(back, np.concatenate([links, n[n > 0]]), len(nodes)).astype(np.int64)
+        edge = node != root
+        trees = forest(np.concatenate([trees[0], node[edge]]), np.concatenate([trees[1], root[edge]]))
+    return pa.table({"node": pa.array(np.concatenate([nodes, trees[0]]), pa.int64()),
+                     "links": pa.array(np.concatenate([links, np.zeros(len(trees[0]), np.int64)]), pa.int64()),
+                     "root": pa.array(np.concatenate([nodes, trees[1]]), pa.int64())})
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, interval: int = INTERVAL, leaf: int = LEAF,
                     **names: str) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per input row.
@@ -192,7 +220,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, interval: int =
     Vectors that are null, empty, zero or hold null or non-finite components have no links and are their own
     component; so do vectors of another width among each other. Equal vectors are joined once as a class, whose
     members all link with each other and share the class's links. Tasks send counts and forests of links, never the
-    links themselves. A row without id links with nothing; rows that share an id count as one node, and each shows
+    links themselves; a task compares the pairs of one tile of intervals, whose sides are bounded in bytes. A row without id links with nothing; rows that share an id count as one node, and each shows
     the links of all of them.
     """
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
@@ -207,10 +235,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, interval: int =
     intervals = cut.join(order, "place")
     boxes = written(intervals.select("n", "w", "low", "high"), "boxes")
     pairs = interval_pairs(boxes, epsilon)
-    sides = pairs.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("n"), "a", "b")
-    met = sides.join(intervals.select("n", "ids", "copies", "data"), "n").groupBy("a", "b").applyInArrow(
-        lambda t: _join(t.select(["n", "ids", "copies", "data"]), turned, cosine, epsilon, leaf),
-        "node long, links long, root long")
+    # an interval travels once per tile of pairs, not once per pair; a tile has tile * tile pairs at most
+    tile = _tile(cut, vectors.sparkSession.sparkContext.defaultParallelism)
+    dealt = pairs.select(F.floor(F.col("a") / tile).alias("p"), F.floor(F.col("b") / tile).alias("q"), "a", "b")
+    todo = dealt.groupBy("p", "q").agg(F.collect_list(F.struct("a", "b")).alias("todo"))
+    sides = todo.select("p", "q", "todo", F.explode(F.array_distinct(F.flatten(F.transform(
+        "todo", lambda x: F.array(x["a"], x["b"]))))).alias("n"))
+    met = sides.join(intervals.select("n", "ids", "copies", "data"), "n").groupBy("p", "q").applyInArrow(
+        lambda t: _join_tile(t, turned, cosine, epsilon, leaf), "node long, links long, root long")
     met = written(met, "met")
     return _per_vector(rows, classes, met)
 
