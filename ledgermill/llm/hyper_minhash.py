@@ -292,13 +292,44 @@ def _across(bucketed: DataFrame, side: DataFrame, docs: DataFrame, words: int, p
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, part: tuple[int, int] = SIMILARITY, bands: int = BANDS,
                     rows: int = ROWS, tile: int = TILE, load: int = LOAD) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per input row.
+    """``doc_id, n_shingles, component_id, kept``, one row per input row, as :func:`_by_id` finds them.
+
+    Where rows share an id and have different texts, each of the texts is a document of its own while copies are
+    searched, known by a hash of id and text. What they are linked with is then one component, named by the smallest
+    id in it. Each row shows the number of shingles of its own text.
+    """
+    digest = F.xxhash64("text")
+    many = written(documents(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(digest).alias("low"), F.max(digest).alias("high")).where("low != high").select("doc_id"), "repeated")
+    if many.isEmpty():
+        return _by_id(docs, words, part, bands, rows, tile, load)
+    marked = documents(docs).join(many.withColumn("many", F.lit(True)), "doc_id", "left")
+    node = F.when(F.col("many"), F.xxhash64("doc_id", digest)).otherwise(F.col("doc_id"))
+    found = written(_by_id(marked.select(node.alias("doc_id"), "text"), words, part, bands, rows, tile, load), "nodes")
+    own = written(marked.where("many").select(node.alias("node"), F.col("doc_id").alias("own")).distinct(), "own")
+    named = found.join(own, found["doc_id"] == own["node"], "left").select(
+        F.coalesce("own", "doc_id").alias("doc_id"), "n_shingles", F.col("component_id").alias("part"), "own")
+    # components that an id has texts in are one
+    hubs = named.where("own IS NOT NULL").groupBy("own").agg(F.min("part").alias("hub"))
+    across = named.where("own IS NOT NULL").join(hubs, "own").where("part != hub").select(
+        F.col("hub").alias("a"), F.col("part").alias("b")).distinct()
+    roots = components(written(across, "across")).toDF("part", "root")
+    placed = written(named.join(roots, "part", "left").select(
+        "doc_id", "n_shingles", F.coalesce("root", "part").alias("part")), "placed")
+    least = placed.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    return (placed.where("part IS NOT NULL").join(least, "part").select("doc_id", "n_shingles", "component_id")
+            .unionByName(placed.where("part IS NULL").select("doc_id", "n_shingles", F.col("part").alias("component_id")))
+            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+
+
+def _by_id(docs: DataFrame, words: int, part: tuple[int, int], bands: int, rows: int, tile: int, load: int) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``, one row per input row; rows that share an id have one text.
 
     Documents link when part[1] times the common shingles reach part[0] times all of theirs. Documents with equal sets
     are one class and linked; classes meet in bands. First every class is checked against the least id of each of its
     buckets, which joins groups of copies in linear work. What is still apart in a bucket is compared with all other
     components in it, in tiles, whatever the bucket's size. A null or empty text has an empty set and no links; rows
-    without id have none either; rows that share an id count as one document of all their classes.
+    without id have none either.
     """
     ship(docs.sparkSession)
     made = written(sketches(docs, words, bands, rows), "sketches")
