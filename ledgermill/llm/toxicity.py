@@ -22,7 +22,6 @@ from ledgermill.llm.common import documents, in_batches, ship, written
 from ledgermill.llm.spans import slices, span_hashes
 
 SAMPLE = 30_000    # labelled rows that lexicon and weights are fitted on, at most
-TERMS = 20_000     # terms of toxic rows that are counted in the other rows, at most, by frequency
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6, 7)   # lengths in bytes of word beginnings
 LEAST_ROWS = 3     # toxic rows that a lexicon entry needs
@@ -150,46 +149,53 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, labe
             .agg(F.max("y").alias("y")).select("text", "y"))
 
 
-def _counts(rows: DataFrame, keep: frozenset[str] | None) -> DataFrame:
-    """``term, n``: rows that each term occurs in, of all terms or of those to keep."""
+def _counts(rows: DataFrame) -> DataFrame:
+    """``term, toxic, clean``: rows of each label that a term occurs in, from one pass over the texts."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
 
         def sums() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()),
-                                               "n": pa.array(list(seen.values()), pa.int64())})
+            terms = list(seen[0].keys() | seen[1].keys())
+            return pa.RecordBatch.from_pydict({
+                "term": pa.array(terms, pa.string()), "toxic": pa.array([seen[1][t] for t in terms], pa.int64()),
+                "clean": pa.array([seen[0][t] for t in terms], pa.int64())})
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                terms = _terms(text)
-                seen.update(terms if keep is None else terms & keep)
-                if len(seen) > 300_000:
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                seen[int(y == 1)].update(_terms(text))
+                if len(seen[0]) + len(seen[1]) > 300_000:
                     yield sums()
-                    seen.clear()
-        if seen:
+                    seen = (Counter(), Counter())
+        if seen[0] or seen[1]:
             yield sums()
 
-    return rows.select("text").mapInArrow(work, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return rows.where("y IN (0, 1)").select("text", "y").mapInArrow(work, "term string, toxic long, clean long").groupBy("term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _telling(rows: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """``term, odds, gain`` of the terms with enough toxic rows, log odds and log likelihood ratio."""
+    n, m = F.col("toxic"), F.col("clean")
+    odds = F.log((n + 0.5) / (toxic + 1)) - F.log((m + 0.5) / (clean + 1))
+    gain = F.lit(0.0)
+    for o, r, c in ((n, n + m, toxic), (m, n + m, clean), (toxic - n, toxic + clean - n - m, toxic),
+                    (clean - m, toxic + clean - n - m, clean)):
+        gain += F.when(o > 0, o * F.log(o * F.lit(float(toxic + clean)) / (r * F.lit(float(c))))).otherwise(0.0)
+    return _counts(rows).where(n >= LEAST_ROWS).select("term", odds.alias("odds"), (2 * gain).alias("gain")).where(
+        (F.col("odds") >= LEAST_ODDS) & (F.col("gain") >= LEAST_GAIN))
 
 
 def _lexicon(rows: DataFrame) -> dict[str, float]:
-    """Entries with their log odds, each of which helps to explain toxic rows that more telling ones do not."""
+    """Entries with their log odds, each of which helps to explain toxic rows that more telling ones do not.
+
+    All terms of the rows are weighed; only those that reach the thresholds come to the driver, which the bounded
+    sample of labelled rows bounds.
+    """
     size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
-    top = (_counts(rows.where("y = 1"), None).where(F.col("n") >= LEAST_ROWS)
-           .orderBy(F.col("n").desc(), "term").limit(TERMS).collect())
-    in_toxic = {r["term"]: r["n"] for r in top}
-    if not in_toxic:
+    if not toxic:
         return {}
-    in_clean = {r["term"]: r["n"] for r in _counts(rows.where("y = 0"), frozenset(in_toxic)).collect()}
-    strong, gain = {}, {}
-    for term, n in in_toxic.items():
-        m = in_clean.get(term, 0)
-        odds = np.log((n + .5) / (toxic + 1)) - np.log((m + .5) / (clean + 1))
-        g2 = 2 * sum(o * np.log(o * (toxic + clean) / (r * c)) for o, r, c in (
-            (n, n + m, toxic), (m, n + m, clean), (toxic - n, toxic + clean - n - m, toxic),
-            (clean - m, toxic + clean - n - m, clean)) if o)
-        if odds >= LEAST_ODDS and g2 >= LEAST_GAIN:
-            strong[term], gain[term] = float(odds), float(g2)
+    found = _telling(rows, toxic, clean).collect()
+    strong, gain = {r["term"]: r["odds"] for r in found}, {r["term"]: r["gain"] for r in found}
     # most telling first; of equals the whole word, then the longest beginning
     order = sorted(strong, key=lambda t: (-round(gain[t], 6), "*" in t, -len(t), t))
     if not order:
