@@ -9,6 +9,8 @@ up the sorted n-grams of a slice at a time.
 from __future__ import annotations
 
 import os
+import resource
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -24,6 +26,7 @@ from ledgermill.llm.spans import slices, span_hashes, word_spans
 from ledgermill.session import fresh_path
 
 PART_BYTES = 24_000_000   # bytes of text for which one owner is added
+MAPPED = 30_000           # arrays that a worker keeps mapped, at most
 FLUSH = 4_000_000         # n-grams that a task gathers before it sends them
 END = np.uint64(0xE4D0_0F_7E_87)  # the end token; a word's hash equals it with a chance of 2**-64
 _SEND = "part int, blob binary"
@@ -66,9 +69,28 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(aside, path)
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=1)
+def _room() -> int:
+    """Arrays that this process may keep mapped: each holds a file descriptor, of which half are left to others."""
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    most = 2 * MAPPED if hard == resource.RLIM_INFINITY else min(2 * MAPPED, hard)
+    if soft != resource.RLIM_INFINITY and soft < most:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (most, hard))
+    return max(16, most // 2)
+
+
+_mapped: OrderedDict[tuple[str, str], np.ndarray] = OrderedDict()
+
+
 def _load(folder: str, name: str) -> np.ndarray:
-    return np.load(os.path.join(folder, name + ".npy"), mmap_mode="r")
+    """An array of the model; of more than :func:`_room` the one unused for longest is unmapped."""
+    array = _mapped.pop((folder, name), None)
+    if array is None:
+        while len(_mapped) >= _room():
+            _mapped.popitem(last=False)
+        array = np.load(os.path.join(folder, name + ".npy"), mmap_mode="r")
+    _mapped[folder, name] = array
+    return array
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -193,7 +215,9 @@ class Words:
 
 
 def _bigrams(ids: np.ndarray, first: np.ndarray, begin: int) -> np.ndarray:
-    """Each token with the one before it, or the begin mark, as one number."""
+    """Each token with the one before it, or the begin mark, as one number of twice 32 bits."""
+    if begin >= 1 << 32:
+        raise OverflowError(f"{begin} distinct words do not fit ids of 32 bits")
     before = np.empty(len(ids), np.int64)
     before[1:] = ids[:-1]
     before[first[:-1]] = begin
