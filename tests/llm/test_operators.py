@@ -53,7 +53,6 @@ def words(text):
 def test_pieces_and_packing(docs, none):
     from tokenizers import Tokenizer
     model = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     out = packing.pack_documents(docs).collect()
     ids = {i: model.encode(t or "", add_special_tokens=False).ids + [2] for i, t in [*enumerate(TEXTS), (None, "no id")]}
     for r in out:
@@ -129,6 +128,32 @@ def test_sharding(docs, none):
     assert sharding.shard_by_bytes(none).count() == 0
 
 
+@pytest.mark.parametrize(("ranges", "most_rows"), [(1, 40), (4, 9), (64, 500_000)])
+def test_overfull_ranges_are_subdivided(spark, ranges, most_rows):
+    """One key has nine tenths of the rows; every record stands where sorting all of them puts it."""
+    docs = spark.range(900).selectExpr("CAST(7 AS bigint) AS doc_id", "'copy' AS text").unionByName(
+        spark.range(100).selectExpr("id + 100 AS doc_id", "concat('text ', id, repeat('y', int(id))) AS text"))
+    keyed = sharding.written(sharding.records(docs), "keyed")
+    placed = keyed.withColumn("range", sharding.F.lit(0))
+    sums = placed.groupBy("range").agg(sharding.F.count("key").alias("n"))
+    cuts = sharding.subdivisions(placed, sums, most_rows).collect()
+    assert bool(cuts) == (most_rows < 1000) and all(r.cuts == sorted(r.cuts) for r in cuts)
+    if cuts:
+        bounds, keys = cuts[0].cuts, [r.key for r in keyed.select("key").collect()]
+        pieces_ = Counter(sum(tuple(b) <= tuple(k) for b in bounds) for k in keys)
+        assert max(pieces_.values()) <= 4 * most_rows
+    order = sorted(keyed.collect(), key=lambda r: tuple(r.key))
+    total, at, want = sum(r["size"] for r in order), 0, Counter()
+    for r in order:
+        want[r.doc_id, min(4, int((2 * at + r["size"]) * 5 / (2 * total)))] += 1
+        at += r["size"]
+    out = sharding.shard_by_bytes(docs, shards=5, ranges=ranges, sample=8 * ranges, most_rows=most_rows).collect()
+    assert Counter((r.doc_id, r.shard) for r in out) == want
+    for shard in range(5):
+        slots = sorted(r.slot for r in out if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_shards_of_many_copies_are_even(spark):
     docs = spark.range(6000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'the same text', repeat('x', int(id % 50))) AS text")
     rows = sharding.shard_by_bytes(docs, ranges=64, sample=512).groupBy("shard").sum("size").collect()
@@ -169,6 +194,14 @@ def test_grid_order_join(vectors):
     assert grid_join.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_tiles_of_intervals(vectors, monkeypatch):
+    """A tile of several intervals gives what single pairs give."""
+    monkeypatch.setattr(grid_join, "_tile", lambda intervals, lanes: 1)
+    one = grid_join.near_duplicates(vectors, interval=5, leaf=3).collect()
+    monkeypatch.setattr(grid_join, "_tile", lambda intervals, lanes: 4)
+    assert sorted(map(str, grid_join.near_duplicates(vectors, interval=5, leaf=3).collect())) == sorted(map(str, one))
+
+
 def test_top_k(vectors):
     whole = topk.whole_numbers(vectors)
     rows = {r.vec_id: np.array(r.v, np.int64) for r in whole.collect()}

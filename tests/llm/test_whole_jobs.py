@@ -2,6 +2,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -169,3 +170,67 @@ def test_near_copies_under_repeated_ids(spark):
     out = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
     assert {t for i, t in out if i is not None} - {None, ""} == {a, b, c} and (None, a) in out
     assert sorted(t[0] for i, t in out if i is not None and t) == ["a", "b", "c"] and sum(i == 7 for i, _ in out) == 1
+
+
+def test_repeated_ids_are_linked_by_all_their_texts(spark):
+    from ledgermill.llm import hyper_minhash
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (9, b + " more"), (3, a), (7, c), (7, c), (8, "one"), (8, "two"), (8, None), (None, a), (None, b)]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, n_shingles string")
+    out = hyper_minhash.near_duplicates(docs, words=2).collect()
+    assert len(out) == len(rows)
+    want = {3: 3, 5: 3, 9: 3, 7: 7, 8: 8, None: None}
+    assert all(r.component_id == want[r.doc_id] and r.kept == (r.doc_id is not None and r.doc_id == want[r.doc_id]) for r in out)
+    assert sorted(r.n_shingles for r in out if r.doc_id == 5) == [59, 59] and sorted(
+        r.n_shingles for r in out if r.doc_id == 8) == [0, 1, 1]
+
+
+def test_mapped_arrays_have_a_bound(tmp_path, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "_room", lambda: 5)
+    kneser_ney._mapped.clear()
+    for i in range(20):
+        kneser_ney._save(str(tmp_path), f"x-{i}", np.full(3, i))
+    for _ in range(2):
+        assert [int(kneser_ney._load(str(tmp_path), f"x-{i}")[1]) for i in range(20)] == list(range(20))
+        assert len(kneser_ney._mapped) == 5
+
+
+def test_scores_against_plain_kneser_ney(spark):
+    """Interpolated modified Kneser-Ney bigrams by the definition, from counts in dictionaries."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.6, int(rng.integers(0, 30))) if x < 60) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in kneser_ney.scored(docs).collect()}
+    pairs = Counter()
+    for i, t in enumerate(texts):
+        if not out[i].held_out:
+            tokens = ["<", *t.split(), ">"]
+            pairs.update(zip(tokens, tokens[1:], strict=False))
+    before = Counter(w for _, w in pairs)
+    total, kinds = Counter(), {}
+    for (h, _), n in pairs.items():
+        total[h] += n
+        kinds.setdefault(h, Counter())[min(n, 3)] += 1
+
+    def discounts(counts):
+        n = [sum(c == k for c in counts) for k in (1, 2, 3, 4)]
+        if not min(n):
+            return [0.0, 0.5, 1.0, 1.5]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [0.0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.01), k - 0.01) for k in (1, 2, 3)]
+
+    d2, d1 = discounts(pairs.values()), discounts(before.values())
+    left1 = sum(d1[min(n, 3)] for n in before.values()) / len(pairs)
+
+    def p(h, w):
+        low = max(before[w] - d1[min(before[w], 3)], 0) / len(pairs) + left1 / (len(before) + 1)
+        if not total[h]:
+            return low
+        n = pairs[h, w]
+        share = sum(d2[k] * c for k, c in kinds[h].items()) / total[h]
+        return max(n - d2[min(n, 3)], 0) / total[h] + share * low
+
+    for i, t in enumerate(texts):
+        tokens = ["<", *t.split(), ">"]
+        want = sum(np.log10(p(h, w)) for h, w in zip(tokens, tokens[1:], strict=False))
+        assert abs(out[i].score - want) < 1e-8 * max(1, abs(want))
