@@ -22,7 +22,7 @@ STAGES = {
     "stage_raw": ["raw_sub", "raw_num", "raw_tag", "raw_pre"],
     "stage_dims": ["dim_filing", "dim_company", "dim_tag"],
     "stage_facts": ["fact_financial_facts"],
-    "stage_restatements": ["disputed_facts", "restatements"],
+    "stage_restatements": ["repeated_facts", "disputed_versions", "restatements"],
     "stage_normalize": ["filing_currency", "fact_reported", "fact_normalized"],
     "stage_rules": ["dq_wide", "dq_units", "dq_results", "dq_summary"],
     "stage_ratios": ["ratio_rows", "fact_ratios"],

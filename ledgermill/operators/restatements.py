@@ -17,19 +17,26 @@ def comparable(facts: DataFrame) -> DataFrame:
     return facts.where(f"{CONSOLIDATED_STANDARD} AND taxonomy <> 'dei'")
 
 
-def disputed_facts(facts: DataFrame) -> DataFrame:
-    """All versions of the facts that have more than one value anywhere.
+def repeated_facts(facts: DataFrame) -> DataFrame:
+    """The facts that occur in several filings or with several values: extremes of both, one row per fact.
 
-    The keys come from one hash aggregation over two numbers per fact, and few keys remain, so the versions are
-    a small table from here on. It contains every version of a fact or none, hence what is computed from it is
-    what would be computed from all facts.
+    One hash aggregation with map-side combine over all facts. Restatements and the rule on them both start from
+    this table.
     """
-    columns = [*FACT_KEY, "adsh", "form", "filed", "value", "is_current_period", "version", "taxonomy",
-               "is_consolidated", "is_custom_tag"]
-    source = comparable(facts).select(*columns)
-    keys = (source.groupBy(*FACT_KEY).agg(F.min("value").alias("low"), F.max("value").alias("high"))
-            .where("low <> high").select(*FACT_KEY))
-    return source.join(keys, FACT_KEY, "left_semi")
+    return (comparable(facts).groupBy(*FACT_KEY)
+            .agg(F.min("value").alias("low"), F.max("value").alias("high"),
+                 F.min("adsh").alias("first_adsh"), F.max("adsh").alias("last_adsh"))
+            .where("low <> high OR first_adsh <> last_adsh"))
+
+
+def disputed_versions(facts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The versions of the facts that have more than one value anywhere.
+
+    Few keys remain, so the versions are a small table from here on. It contains every version of a fact or none,
+    hence what is computed from it is what would be computed from all facts.
+    """
+    keys = repeated.where("low <> high").select(*FACT_KEY)
+    return fact_versions(facts.join(keys, FACT_KEY, "left_semi"))
 
 
 def fact_versions(facts: DataFrame) -> DataFrame:
@@ -39,14 +46,13 @@ def fact_versions(facts: DataFrame) -> DataFrame:
                       [F.col("version").desc_nulls_last(), F.col("value").desc()])
 
 
-def restatements(facts: DataFrame, restatement_rel: float) -> DataFrame:
-    """All versions of the facts whose versions differ, from all facts or from :func:`disputed_facts`.
+def restatements(versions: DataFrame, restatement_rel: float) -> DataFrame:
+    """All versions of the facts whose versions differ, from :func:`fact_versions` or :func:`disputed_versions`.
 
     A fact may have any number of versions, so nothing here windows over a fact. The authoritative version
     and the largest difference are aggregates with map-side combine, joined back; the join side they form is
     one row per fact and already reduced to the facts that differ. A fact with a NULL in its key is not compared.
     """
-    versions = fact_versions(facts)
     # the winner of a fact: latest filed, then amended, then highest accession number
     order = F.struct(F.col("filed"), is_amended(F.col("form")).alias("amended"), F.col("adsh"),
                      F.col("value"), F.col("form"))

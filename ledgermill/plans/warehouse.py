@@ -23,7 +23,7 @@ from ledgermill.settings import Settings
 # Written once: each has several consumers. Serving tables are also laid out by the columns they are asked for,
 # so that file and row-group statistics skip other companies; ranges of (cik, period_end) split a large company.
 WRITTEN = {"raw_sub", "raw_num", "raw_tag", "raw_pre", "dim_filing", "dim_company", "dim_tag",
-           "fact_financial_facts", "filing_currency", "disputed_facts", "restatements", "fact_reported",
+           "fact_financial_facts", "filing_currency", "repeated_facts", "disputed_versions", "restatements", "fact_reported",
            "fact_normalized", "dq_wide", "ratio_rows", "fact_ratios", "dq_units", "dq_results", "dq_summary", "sector_ratio_latest"}
 LAYOUT = {
     "fact_normalized": ["cik", "period_end"],
@@ -128,9 +128,11 @@ class Warehouse(Mapping):
             "dim_tag": lambda: dims.dim_tag(self["raw_tag"]),
             "fact_financial_facts": lambda: facts.fact_financial_facts(
                 self["raw_num"], self["dim_filing"], self["dim_company"], self["dim_tag"]),
-            "disputed_facts": lambda: restatements.disputed_facts(self["fact_financial_facts"]),
+            "repeated_facts": lambda: restatements.repeated_facts(self["fact_financial_facts"]),
+            "disputed_versions": lambda: restatements.disputed_versions(
+                self["fact_financial_facts"], self["repeated_facts"]),
             "restatements": lambda: restatements.restatements(
-                self["disputed_facts"], s.tolerance("restatement_rel")),
+                self["disputed_versions"], s.tolerance("restatement_rel")),
             "filing_currency": lambda: facts.filing_currency(self["fact_financial_facts"], self["dim_tag"]),
             "fact_reported": lambda: normalize.resolve(
                 self["fact_financial_facts"], self["dim_tag"], self["filing_currency"], self["restatements"], s),

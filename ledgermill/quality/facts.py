@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.sqltext import any_of, case, struct, text, texts
 from ledgermill.operators.facts import CONSOLIDATED_STANDARD
-from ledgermill.operators.restatements import FACT_KEY, comparable
+from ledgermill.operators.restatements import FACT_KEY
 from ledgermill.quality.contract import Rule, counted, detail, register
 from ledgermill.settings import Settings, split_tag
 
@@ -75,12 +75,9 @@ def _magnitude(s: Settings):
 def restatement_units(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """Facts in two or more filings: restated, or counted as unchanged.
 
-    Whether a fact is in several filings needs only the least and greatest accession number, which combine on
-    the map side.
+    Whether a fact is in several filings is read from the table of repeated facts, without the facts themselves.
     """
-    several = (comparable(tables[FACTS]).groupBy(*FACT_KEY)
-               .agg(F.min("adsh").alias("low"), F.max("adsh").alias("high"))
-               .where("low <> high").select(*FACT_KEY))
+    several = tables["repeated_facts"].where("first_adsh <> last_adsh").select(*FACT_KEY)
     earliest = "min(CASE WHEN filed IS NOT NULL THEN struct(filed, adsh, value) END).value"
     restated = tables["restatements"].where("classification = 'restatement'").groupBy(*FACT_KEY).agg(
         *[F.expr(e) for e in (

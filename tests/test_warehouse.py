@@ -5,10 +5,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.functions.ranking import exact_quantiles, value_ranks
+from ledgermill.functions.ranking import exact_quantiles, in_pieces, value_ranks
 from ledgermill.operators import ratios, sector
 from ledgermill.operators.normalize import derive
-from ledgermill.operators.restatements import disputed_facts, restatements
+from ledgermill.operators.restatements import disputed_versions, fact_versions, repeated_facts, restatements
 from ledgermill.settings import Settings
 from tests.build import A, Tables, day
 
@@ -123,7 +123,7 @@ def test_restatements(spark):
         t.fact(tag, first, A1, filed="2024-02-15")
         t.fact(tag, second, A2, filed="2025-02-15")
     rows = {(r["tag"], r["adsh"]): r for r in
-            restatements(t.frame(spark, "fact_financial_facts"), 0.001).collect()}
+            restatements(fact_versions(t.frame(spark, "fact_financial_facts")), 0.001).collect()}
     assert len(rows) == 4
     assert rows["Revenues", A2]["is_authoritative"] and not rows["Revenues", A1]["is_authoritative"]
     old = rows["Revenues", A1]
@@ -132,9 +132,13 @@ def test_restatements(spark):
     assert rows["Revenues", A2]["group_max_rel_diff"] == pytest.approx(10 / 110)
     assert rows["Assets", A1]["classification"] == "rounding_diff"
     facts = t.frame(spark, "fact_financial_facts")
-    assert disputed_facts(facts).select("tag").distinct().count() == 2
-    again = restatements(disputed_facts(facts), 0.001)
-    assert again.count() == 4 and again.exceptAll(restatements(facts, 0.001)).count() == 0
+    repeated = repeated_facts(facts)
+    assert {(r["tag"], r["first_adsh"], r["last_adsh"]) for r in repeated.collect()} == {
+        (tag, A1, A2) for tag in ("Revenues", "Assets", "NetIncomeLoss")}
+    disputed = disputed_versions(facts, repeated)
+    assert disputed.select("tag").distinct().count() == 2
+    again = restatements(disputed, 0.001)
+    assert again.count() == 4 and again.exceptAll(restatements(fact_versions(facts), 0.001)).count() == 0
 
 
 def test_amendment_wins_a_tie(spark):
@@ -355,3 +359,20 @@ def test_ranks_against_one_window(spark):
     for r in df.groupBy("k").agg(F.median("v").alias("mid"), F.percentile("v", 0.95).alias("high")).collect():
         assert medians[r["k"]]["mid"] == pytest.approx(r["mid"])
         assert medians[r["k"]]["high"] == pytest.approx(r["high"])
+
+
+def test_ranks_of_concentrated_values(spark):
+    """Nine tenths of the values lie within a millionth of each other, and some repeat."""
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS k",
+        "CASE WHEN id % 10 = 0 THEN CAST(id AS double) - 1500 WHEN id % 7 = 0 THEN 2 ELSE 2 + pow(id / 3000, 3) * 1e-6 END AS v")
+    rows = df.collect()
+    got = {(r["k"], r["v"]): (r["n_equal"], r["n_below"], r["n_group"]) for r in value_ranks(df, ["k"], "v", most=100).collect()}
+    want = {}
+    for k in "ab":
+        values = sorted(r["v"] for r in rows if r["k"] == k)
+        for i, v in enumerate(values):
+            want.setdefault((k, v), (values.count(v), i, len(values)))
+    assert got == want
+    sizes = in_pieces(df.groupBy("k", "v").count(), ["k"], "v", most=100).groupBy("k", "_slot", "_piece").count().collect()
+    assert max(r["count"] for r in sizes) <= 400 and max(r["_piece"] for r in sizes) >= 5
