@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.sqltext import any_of, case, struct, text, texts
 from ledgermill.operators.facts import CONSOLIDATED_STANDARD
-from ledgermill.operators.restatements import FACT_KEY
+from ledgermill.operators.restatements import FACT_KEY, compared_versions, fact_versions
 from ledgermill.quality.contract import Rule, counted, detail, register
 from ledgermill.settings import Settings, split_tag
 
@@ -75,19 +75,20 @@ def _magnitude(s: Settings):
 def restatement_units(tables: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """Facts in two or more filings: restated, or counted as unchanged.
 
-    Whether a fact is in several filings is read from the table of repeated facts, without the facts themselves.
+    Versions are one per filing, so a fact with several is in several filings. They are compared and added up where they
+    lie, without a join with the restatements.
     """
-    several = tables["repeated_facts"].where("first_adsh <> last_adsh").select(*FACT_KEY)
-    earliest = "min(CASE WHEN filed IS NOT NULL THEN struct(filed, adsh, value) END).value"
-    restated = tables["restatements"].where("classification = 'restatement'").groupBy(*FACT_KEY).agg(
+    dated = "CASE WHEN filed IS NOT NULL THEN struct(filed, adsh, value) END"
+    several = (compared_versions(fact_versions(tables[FACTS])).where("n_versions > 1").groupBy(*FACT_KEY).agg(
         *[F.expr(e) for e in (
             "max(n_versions) AS n_versions", "max(group_max_rel_diff) AS largest", "max(authoritative_adsh) AS adsh",
-            "max(authoritative_value) AS observed", f"{earliest} AS expected")])
+            "max(authoritative_value) AS observed", f"min({dated}).value AS expected")]))
+    restated = f"coalesce(largest > {s.tolerance('restatement_rel')}D, false)"
     message = ("concat('reported in ', n_versions, ' filings, values differ by up to ', round(largest * 100, 2), "
                "'%')")
-    judged = _fact("n_versions IS NOT NULL", observed="observed", expected="expected",
+    judged = _fact(restated, observed="observed", expected="expected",
                    diff="observed - expected", message=message)
-    return several.join(restated, FACT_KEY, "left").selectExpr(f"{judged} AS u").select("u.*")
+    return several.selectExpr(f"{judged} AS u").select("u.*")
 
 
 register(Rule(
