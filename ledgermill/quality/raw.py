@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ledgermill.functions import dates
 from ledgermill.functions.sqltext import case, struct
+from ledgermill.operators.facts import declared_by_filing, with_declarations
 from ledgermill.quality.contract import DETAILS, Rule, counted, detail, register
 from ledgermill.schema import NUM_KEY, QUARTER, RULE_OUTPUT
 from ledgermill.settings import Settings
@@ -31,15 +32,22 @@ def dangling_references(tables: Mapping[str, DataFrame], s: Settings) -> DataFra
     """Numbers and presentation rows whose tag is undeclared, and numbers whose filing is absent.
 
     Each raw file is read once. A number failing both checks is two failures and takes two off the passes.
-    The lookups are unique per key, so the outer joins keep the row count, and adaptive execution may split a
-    hot tag or filing.
+    The lookups are unique per key, so the outer joins keep the row count. Filings and what they declare are met by
+    accession number, where the rows of a filing lie together; they are as many as there are filings, so they are dealt
+    and never broadcast, whatever the size of their files suggests.
     """
-    declared = tables["raw_tag"].select("tag", "version").distinct().withColumn("declared", F.lit(True))
+    tags = tables["raw_tag"].select("tag", "version", "datatype", "iord").dropDuplicates(["tag", "version"])
     filed = tables["raw_sub"].select("adsh").distinct().withColumn("known", F.lit(True))
-    numbers = (tables["raw_num"].select("adsh", "tag", "version", "ddate", "qtrs")
-               .join(declared, ["tag", "version"], "left").join(filed, "adsh", "left")
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        own = declared_by_filing(rows, tags)
+        known = filed.hint("merge").join(own.hint("merge"), "adsh", "full").hint("shuffle_hash")
+        return with_declarations(rows.join(known, "adsh", "left"), tags).withColumn(
+            "declared", F.when(F.col("tag_declared"), F.lit(True)))
+
+    numbers = (looked_up(tables["raw_num"].select("adsh", "tag", "version", "ddate", "qtrs"))
                .withColumn("period_end", dates.compact_date(F.col("ddate"))))
-    rows = tables["raw_pre"].select("adsh", "tag", "version").join(declared, ["tag", "version"], "left")
+    rows = looked_up(tables["raw_pre"].select("adsh", "tag", "version"))
     where = {"adsh": "adsh", "period_end": "period_end", "qtrs": "qtrs", "tag": "tag"}
     fine = struct({"status": "'pass'", "n": "1L", "d": f"CAST(NULL AS {_detail_type()})"})
 
