@@ -208,7 +208,8 @@ def staged_tables(spark: SparkSession, root: str, quarters: Iterable[str] | None
 
 
 def write_text(df: DataFrame, name: str, path: str, declared: T.StructType | None = None) -> None:
-    """Write rows as a tab-delimited source file set (a folder of part files, each with a header)."""
+    """Write rows as a tab-delimited source file set (a folder of part files, each with a header), compressed, which
+    readers know by the names of the files."""
     columns = [F.col(f.name).cast("string").alias(f.name) for f in (declared or SOURCES[name]).fields]
     (df.select(*columns).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "")
-     .option("escape", "").option("nullValue", "").option("emptyValue", "").csv(path))
+     .option("escape", "").option("nullValue", "").option("emptyValue", "").option("compression", "gzip").csv(path))

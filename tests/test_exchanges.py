@@ -4,7 +4,7 @@ import re
 from build import A, Tables
 
 from ledgermill.operators.facts import fact_financial_facts
-from ledgermill.operators.normalize import resolve
+from ledgermill.operators.normalize import candidates, resolve, source_counts
 from ledgermill.operators.restatements import disputed_versions, fact_versions, repeated_facts, restatements
 from ledgermill.quality.raw import dangling_references
 from ledgermill.settings import Settings
@@ -88,3 +88,28 @@ def test_resolution_keeps_candidates_single(spark):
     assert (row["value"], row["source_adsh"], row["n_candidates"], row["n_sources"], row["n_distinct_values"]) == (
         5.0, "f3", 4, 4, 2)
     assert "Expand" not in plan_of(reported)  # a copy of every candidate per distinct count
+
+
+def test_sources_are_counted_without_copies(spark):
+    t = Tables()
+    t.tag("Assets")
+    for k, value in enumerate((0.0, -0.0, 5.0, 5.0)):
+        t.fact("Assets", value, adsh=f"f{k % 3}")
+    w = t.warehouse(spark)
+    counts = source_counts(candidates(w["fact_financial_facts"], w["dim_tag"], w["filing_currency"], Settings()))
+    assert [(r["metric"], r["n_sources"], r["n_values"]) for r in counts.collect()] == [("total_assets", 3, 2)]
+    assert "Expand" not in plan_of(counts)
+
+
+def test_text_is_compressed_and_loads_sort_nothing(spark, tmp_path):
+    from ledgermill.schema import SOURCES
+    from ledgermill.sources import staging
+    t = raw_tables(spark)
+    for name in SOURCES:
+        staging.write_text(t.frame(spark, f"raw_{name}"), name, str(tmp_path / f"text/{name}.txt"))
+    files = [p.name for p in (tmp_path / "text/num.txt").iterdir() if p.name.startswith("part-")]
+    assert files and all(name.endswith(".gz") for name in files)
+    found = staging.load_quarter(spark, str(tmp_path / "text"), "2025q1", str(tmp_path / "stage"))
+    assert found["num"].agrees and (found["num"].parsed, found["num"].rejected) == (6, 0)
+    assert staging.read_staged(spark, str(tmp_path / "stage"), "num").where("uom = 'CHF'").count() == 1
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 1  # parsed and rejected lines, unsorted
