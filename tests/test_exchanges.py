@@ -6,6 +6,7 @@ from build import A, Tables
 from ledgermill.operators.facts import fact_financial_facts
 from ledgermill.operators.normalize import candidates, resolve, source_counts
 from ledgermill.operators.restatements import disputed_versions, fact_versions, repeated_facts, restatements
+from ledgermill.plans.warehouse import Warehouse
 from ledgermill.quality.raw import dangling_references
 from ledgermill.settings import Settings
 
@@ -90,6 +91,57 @@ def test_resolution_keeps_candidates_single(spark):
     assert "Expand" not in plan_of(reported)  # a copy of every candidate per distinct count
 
 
+def test_verdicts_where_facts_lie_are_those_of_the_restatements(spark):
+    t = Tables()
+    t.tag("Assets")
+    t.tag("Revenues", iord="D")
+    for k in range(4):
+        t.fact("Assets", 5.0, adsh=f"f{k}", filed=f"2025-02-{k + 1:02d}")  # agrees
+        t.fact("Revenues", 100 + k, adsh=f"f{k}", qtrs=4, filed=f"2025-02-{k + 1:02d}")  # restated
+        t.fact("Revenues", 100000 + k, adsh=f"f{k}", qtrs=1, filed=f"2025-02-{k + 1:02d}")  # rounded
+        t.fact("Assets", k, adsh=f"f{k}", uom=None)  # a NULL in the key
+        t.fact("Assets", k, adsh=f"f{k}", version="dei/2024", period_end="2023-12-31")  # a cover page
+    t.fact("Assets", 7.0, adsh="f1", period_end="2022-12-31")
+    t.fact("Assets", 9.0, adsh="f1", period_end="2022-12-31", version="us-gaap/2023")  # an older version of one filing
+    t.fact("Assets", -3.0, adsh="f2", period_end="2021-12-31", filed=None)
+    t.fact("Assets", 3.0, adsh="f1", period_end="2021-12-31")
+    w = t.warehouse(spark)
+    facts = w["fact_financial_facts"]
+    joined = resolve(facts, w["dim_tag"], w["filing_currency"], restatements(disputed_versions(facts), 0.001), Settings())
+    here = resolve(facts, w["dim_tag"], w["filing_currency"], None, Settings())
+    assert sorted(map(str, here.collect())) == sorted(map(str, joined.collect()))
+    assert {(r["metric"], r["qtrs"], r["is_restated"], r["resolution_reason"].rsplit(";", 1)[1])
+            for r in here.where("period_end IN ('2024-12-31', '2021-12-31')").collect()} == {
+        ("total_assets", 0, False, "authoritative=latest_filed"), ("total_assets", 0, True, "restated"),
+        ("revenue", 4, True, "restated"), ("revenue", 1, False, "rounding_diff")}
+
+
+def test_ratios_from_one_exchange_of_facts(spark):
+    t = Tables()
+    t.tag("Assets")
+    t.fact("Assets", 5.0)
+    facts = t.frame(spark, "fact_financial_facts").selectExpr(
+        "*", "'monetary' AS datatype", "'I' AS iord", "true AS tag_declared", "'USD' AS filing_currency")
+    w = Warehouse(spark, {"fact_financial_facts": facts, "dim_tag": t.frame(spark, "dim_tag")}, write=False)
+    for name in ("fact_normalized", "dq_wide", "ratio_rows"):
+        plan = plan_of(w[name])
+        assert plan.count("Exchange hashpartitioning") == 1 and "Union" not in plan, plan
+
+
+def test_one_consumer_writes_nothing_on_the_way(spark, tmp_path):
+    t = raw_tables(spark)
+    for adsh in (A, OTHER):
+        t.raw("num", adsh=adsh, tag="NetIncomeLoss", version="us-gaap/2024", uom="EUR", ddate="20241231", qtrs=4, value=5.0)
+    t.raw("tag", tag="NetIncomeLoss", version="us-gaap/2024", datatype="monetary", iord="D")
+    given = {f"raw_{name}": t.frame(spark, f"raw_{name}") for name in ("sub", "num", "tag", "pre")}
+    alone = Warehouse(spark, given, path=str(tmp_path / "alone"))
+    assert alone["ratio_rows"].count() == 1
+    assert not {"fact_financial_facts", "fact_normalized"} & {p.name for p in (tmp_path / "alone").iterdir()}
+    whole = Warehouse(spark, given, path=str(tmp_path / "whole")).build("fact_financial_facts", "fact_normalized", "ratio_rows")
+    assert {"fact_financial_facts", "fact_normalized"} <= {p.name for p in (tmp_path / "whole").iterdir()}
+    assert whole["ratio_rows"].exceptAll(alone["ratio_rows"]).count() == 0
+
+
 def test_sources_are_counted_without_copies(spark):
     t = Tables()
     t.tag("Assets")
