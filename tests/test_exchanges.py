@@ -45,6 +45,19 @@ def test_declared_types_whatever_a_version_refers_to(spark):
     assert counted == {(A, "EUR", 1), (OTHER, "CHF", 1)}
 
 
+def test_copies_neither_stay_nor_count(spark):
+    t = raw_tables(spark)
+    for k in range(5):  # an older copy of one key, five times, would make EUR the currency of the other filing
+        t.raw("num", adsh=OTHER, tag="Own", version=A, uom="EUR", ddate="20241231", qtrs=0, value=float(k),
+              dataset_quarter="2024q4")
+    w = t.warehouse(spark, "dim_filing", "dim_company", "dim_tag", "fact_financial_facts")
+    found = w["fact_financial_facts"].where(f"adsh = '{OTHER}'")
+    assert {r["filing_currency"] for r in found.collect()} == {"CHF"}
+    assert [r["value"] for r in found.where("uom = 'EUR'").collect()] == [5.0]
+    plan = plan_of(found)
+    assert "WindowGroupLimit [_filing" not in plan and "CASE WHEN Contains(version" in plan, plan
+
+
 def test_facts_are_not_dealt_by_tag(spark):
     w = raw_tables(spark).warehouse(spark, "dim_filing", "dim_company", "dim_tag")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables beyond it
@@ -142,6 +155,29 @@ def test_one_consumer_writes_nothing_on_the_way(spark, tmp_path):
     assert whole["ratio_rows"].exceptAll(alone["ratio_rows"]).count() == 0
 
 
+def test_facts_go_to_their_buckets_without_another_exchange(spark, tmp_path):
+    import glob
+    t = Tables()
+    for k in range(40):
+        t.raw("sub", adsh=f"f{k}", cik=k, form="10-K", period="20241231", filed="20250215")
+        t.raw("num", adsh=f"f{k}", tag="Assets", version="us-gaap/2024", uom="USD", ddate="20241231", qtrs=0, value=5.0)
+    t.raw("tag", tag="Assets", version="us-gaap/2024", datatype="monetary", iord="I")
+    given = {f"raw_{name}": t.frame(spark, f"raw_{name}") for name in ("sub", "num", "tag", "pre")}
+    given["raw_num"] = given["raw_num"].repartition("adsh")
+    w = Warehouse(spark, given, path=str(tmp_path / "own"))
+    names = ["fact_financial_facts", "dim_filing", "filing_currency"]
+    for _ in range(2):  # saved again over tables that were read meanwhile
+        w.save_as_tables("default", *names, path=str(tmp_path / "saved"), suffix="_straight")
+    assert not (tmp_path / "own/fact_financial_facts").exists()
+    files = glob.glob(str(tmp_path / "saved/fact_financial_facts/part-*"))
+    numbers = [re.search(r"_(\d{5})\.c", name).group(1) for name in files]
+    assert len(numbers) == len(set(numbers)) == 4  # one file for each bucket
+    fact, filing, currency = (spark.table(f"default.{name}_straight") for name in names)
+    joined = fact.select("adsh").join(filing.select("adsh").hint("merge"), "adsh").join(
+        currency.select("adsh").hint("merge"), "adsh")
+    assert joined.count() == 40 and "Exchange" not in plan_of(joined)
+
+
 def test_sources_are_counted_without_copies(spark):
     t = Tables()
     t.tag("Assets")
