@@ -2,13 +2,17 @@
 import re
 
 from build import A, Tables
+from pyspark.sql import functions as F
 
 from ledgermill.operators.facts import fact_financial_facts
 from ledgermill.operators.normalize import candidates, resolve, source_counts
 from ledgermill.operators.restatements import disputed_versions, fact_versions, repeated_facts, restatements
 from ledgermill.plans.warehouse import Warehouse
+from ledgermill.quality.contract import rule_named
 from ledgermill.quality.raw import dangling_references
+from ledgermill.quality.run import run_rule
 from ledgermill.settings import Settings
+from ledgermill.sources import star
 
 OTHER = "0000000002-25-000002"
 
@@ -201,3 +205,26 @@ def test_text_is_compressed_and_loads_sort_nothing(spark, tmp_path):
     assert found["num"].agrees and (found["num"].parsed, found["num"].rejected) == (6, 0)
     assert staging.read_staged(spark, str(tmp_path / "stage"), "num").where("uom = 'CHF'").count() == 1
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 1  # parsed and rejected lines, unsorted
+
+
+def test_parts_of_numbers_do_not_grow_with_the_input(spark, monkeypatch, tmp_path):
+    def duplicates(w):
+        return run_rule(rule_named("R12"), w, w.settings)
+
+    folder = "/root/testdata/sf0.001"
+    before = sorted(map(str, duplicates(Warehouse(spark, star.raw_tables(spark, folder))).collect()))
+    monkeypatch.setattr(star, "LINES_PER_PART", 250, raising=False)
+    w = Warehouse(spark, star.raw_tables(spark, folder), path=str(tmp_path / "own"))
+    sizes = (w["raw_num"].selectExpr("spark_partition_id() AS part", "pmod(hash(adsh), 4) AS of_session")
+             .groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("of_session").alias("of_session")).collect())
+    assert len(sizes) >= 20 and max(r["n"] for r in sizes) < 250 * 22 / 5 * 2, sizes
+    assert {r["of_session"] for r in sizes} == {1}
+    assert sorted(map(str, duplicates(w).collect())) == before
+    assert not re.search(r"Exchange hashpartitioning\(adsh#\d+, tag", plan_of(duplicates(w)))
+    # facts of these parts go to the buckets of the session
+    names = ["fact_financial_facts", "dim_filing"]
+    w.save_as_tables("default", *names, path=str(tmp_path / "saved"), suffix="_parts")
+    fact, filing = (spark.table(f"default.{name}_parts") for name in names)
+    joined = fact.join(filing.select("adsh").hint("merge"), "adsh")
+    assert "Exchange" not in plan_of(joined)
+    assert joined.count() == fact.count() == w["fact_financial_facts"].count() > 0
