@@ -83,7 +83,7 @@ def write_version(lines: DataFrame, root: str, name: str, quarter: str, load: st
     """
     text, rows = Observation("text"), Observation("rows")
     header = tsv.is_header(name, declared)
-    seen = lines.observe(text, F.count_if(~header & (F.regexp_replace("value", "\\r$", "") != "")).alias("lines"),
+    seen = lines.observe(text, F.count_if(~header & ~tsv.is_blank()).alias("lines"),
                          F.count_if(header).alias("headers"))
     parsed = tsv.parse(seen, name, declared).observe(
         rows, F.count_if(~F.col(tsv.REJECTED)).alias("parsed"), F.count_if(tsv.REJECTED).alias("rejected"))

@@ -38,8 +38,22 @@ def verify_header(spark: SparkSession, path: str, name: str, declared: T.StructT
         raise HeaderMismatch(f"{name}: header is {got}, declared are {expected}")
 
 
+# What a text needs to become a number. The cast decides; but it raises an error inside for every text that is none, which
+# takes longer than all else that is done with a line.
+MAY_BE_WHOLE, MAY_BE_DOUBLE = "^[^!-*,/:-~]*[0-9][^!-*,/:-~]*$", "[0-9nN]"
+
+
+def _bare(value: str) -> str:
+    """SQL for a line without the carriage return at its end; most have none anywhere and are not matched."""
+    return f"CASE WHEN contains({value}, '\r') THEN regexp_replace({value}, '\\r$', '') ELSE {value} END"
+
+
 def is_header(name: str, declared: T.StructType | None = None) -> Column:
-    return F.regexp_replace("value", "\r$", "") == header_of(name, declared)
+    return F.expr(_bare("value")) == header_of(name, declared)
+
+
+def is_blank() -> Column:
+    return F.expr(_bare("value")) == ""
 
 
 def parse(lines: DataFrame, name: str, declared: T.StructType | None = None) -> DataFrame:
@@ -51,22 +65,24 @@ def parse(lines: DataFrame, name: str, declared: T.StructType | None = None) ->
     fields than declared, and it keeps its text. A short line is not rejected for being short; a blank line is none.
     """
     schema = declared or SOURCES[name]
-    text_line = "regexp_replace(make_valid_utf8(value), '\\r$', '')"
     others = [c for c in lines.columns if c != "value"]
-    fields = (lines.where(~is_header(name, declared)).selectExpr(*others, f"{text_line} AS {RAW_LINE}")
-              .where(f"{RAW_LINE} <> ''").selectExpr("*", f"split({RAW_LINE}, '\t', -1) AS _fields"))
+    fields = (lines.where(~is_header(name, declared) & ~is_blank())
+              .selectExpr(*others, f"{_bare('make_valid_utf8(value)')} AS {RAW_LINE}")
+              .selectExpr("*", f"split({RAW_LINE}, '\t', -1) AS _fields"))
     casts, misfits = [], [f"size(_fields) > {len(schema.fields)}"]
     for k, f in enumerate(schema.fields):
         field = f"nullif(get(_fields, {k}), '')"
         if isinstance(f.dataType, T.StringType):
             casts.append(f"{field} AS {f.name}")
         else:
-            kind = f.dataType.simpleString()
-            casts.append(f"try_cast({field} AS {kind}) AS {f.name}")
-            misfits.append(f"({field} IS NOT NULL AND try_cast({field} AS {kind}) IS NULL)")
-    rejected = any_of(misfits)
-    return fields.selectExpr(*others, *casts, f"{rejected} AS {REJECTED}",
-                             f"CASE WHEN {rejected} THEN {RAW_LINE} END AS {RAW_LINE}")
+            likely = MAY_BE_DOUBLE if isinstance(f.dataType, T.DoubleType) else MAY_BE_WHOLE
+            casts.append(f"CASE WHEN {field} RLIKE '{likely}' THEN try_cast({field} AS {f.dataType.simpleString()}) END "
+                         f"AS {f.name}")
+            misfits.append(f"({field} IS NOT NULL AND {f.name} IS NULL)")
+    names = [*others, *[f.name for f in schema.fields]]
+    typed = fields.selectExpr(*others, *casts, RAW_LINE, "_fields")  # a cast is done once, its result looked at twice
+    return (typed.selectExpr(*names, RAW_LINE, f"{any_of(misfits)} AS {REJECTED}")
+            .selectExpr(*names, REJECTED, f"CASE WHEN {REJECTED} THEN {RAW_LINE} END AS {RAW_LINE}"))
 
 
 def scan(spark: SparkSession, path: str, name: str, declared: T.StructType | None = None) -> DataFrame:

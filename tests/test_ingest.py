@@ -2,6 +2,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill.functions.dates import quarter_window
 from ledgermill.schema import SOURCES
@@ -193,3 +194,32 @@ def test_arriving_quarters(spark, tmp_path):
     assert staging.complete_quarters(spark, root) == []
     staging.load_quarter(spark, f"{source}/2023q2", "2023q2", root)
     assert staging.complete_quarters(spark, root) == ["2023q2"]
+
+
+def test_a_field_is_cast_once(spark, tmp_path):
+    """A cast that fails raises an error inside, which takes longer than the rest of the line."""
+    path = tmp_path / "num.txt"
+    path.write_bytes(tsv.header_of("num").encode() + b"\n")
+    plan = tsv.scan(spark, str(path), "num")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_cast") == 2, plan  # qtrs and value
+
+
+def test_numbers_and_what_only_looks_like_them(spark):
+    """The guard in front of a cast takes nothing away that the cast accepts."""
+    texts = ["?", "7", " 7\t", "+7", "-7", "7.5", ".5", "5.", "1e3", "x7", "7x", "0x10", "7d", "NaN", "nan", "Infinity", "-inf", "INF",
+             "\x017", " 7", "٧", "7 ", "99999999999", "--7", "7-", "7,5", "1_0", " ", ".", "+", "e", "N"]
+    lines = spark.createDataFrame([("\u0001".join(map(str, range(9))) + str(k) + "\t" * 4 + t + "\t" * 4 + t, t)
+                                   for k, t in enumerate(texts)], "value string, given string")
+    kept = [t for t in texts if "\t" not in t]
+    rows = (tsv.parse(lines.where(~F.contains("given", F.lit("\t"))), "num")
+            .withColumns({"whole": F.expr("try_cast(given AS int)"), "dbl": F.expr("try_cast(given AS double)")}).collect())
+    assert len(rows) == len(kept)
+    for r in rows:
+        bad = r["whole"] is None or r["dbl"] is None
+        assert (r["qtrs"], str(r["value"]), r["rejected"]) == (r["whole"], str(r["dbl"]), bad), r["given"]
+
+
+def test_carriage_returns(spark):
+    header = tsv.header_of("num")
+    lines = spark.createDataFrame([(x,) for x in (header, header + "\r", "", "\r", "a\tT\r", "a\tT\rU", "a\tT")], "value string")
+    assert [r["tag"] for r in tsv.parse(lines, "num").collect()] == ["T", "T\rU", "T"]
