@@ -13,6 +13,7 @@ import time
 import uuid
 import warnings
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -110,23 +111,32 @@ def load_quarter(spark: SparkSession, folder: str, quarter: str, root: str, sett
         tsv.verify_header(spark, path, name, declared.get(name))
     load = new_load()
     append_log(spark, root, [(quarter, name, None, None, None, None, None, "running", load) for name in SOURCES])
-    results, log, failure = {}, [], None
-    for name, path in sources.items():
+
+    def write(name: str) -> tuple[tuple[tsv.Accounting, int], int, float]:
         started = time.perf_counter()
-        lines = spark.read.text(path)
-        results[name], headers = write_version(lines, root, name, quarter, load, declared.get(name))
+        lines = spark.read.text(sources[name])
+        written = write_version(lines, root, name, quarter, load, declared.get(name))
+        return written, len(lines.inputFiles()), time.perf_counter() - started
+
+    written = {}
+    # submissions beside numbers: a compressed file is one task, and they have too few of them to keep a cluster busy; a load
+    # that crashes goes no further than the files it has begun
+    for names in (("sub", "num"), ("tag",), ("pre",)):
+        with ThreadPoolExecutor(len(names)) as pool:
+            written.update(zip(names, pool.map(write, names), strict=True))
+    results, log, failure = {}, [], None
+    for name, ((results[name], headers), files, seconds) in written.items():
         if not results[name].agrees:
             warnings.warn(f"{quarter} {name}: {results[name].parsed} lines parsed and {results[name].rejected} rejected, "
                           f"{results[name].lines} in the text")
         try:
-            if headers != len(lines.inputFiles()):
-                raise tsv.HeaderMismatch(f"{name}: {headers} headers in {len(lines.inputFiles())} files")
+            if headers != files:
+                raise tsv.HeaderMismatch(f"{name}: {headers} headers in {files} files")
             results[name].check(settings.max_reject_rate)
         except (tsv.RejectRateExceeded, tsv.HeaderMismatch) as problem:
             failure = failure or problem
         size = _size(spark, f"{root}/{name}/{QUARTER}={quarter}/{LOAD}={load}/{tsv.REJECTED}=false")
-        log.append((quarter, name, results[name].lines, results[name].parsed, results[name].rejected, size,
-                    time.perf_counter() - started))
+        log.append((quarter, name, results[name].lines, results[name].parsed, results[name].rejected, size, seconds))
     # one entry for all four files: they become current together or not at all
     append_log(spark, root, [(*row, "failed" if failure else "complete", load) for row in log])
     if failure:
